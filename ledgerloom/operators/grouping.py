@@ -1,25 +1,25 @@
-"""Grouped reports: shares, top groups with a remainder, cross tables, exact quantiles."""
+"""Grouped reports: shares, top groups with a remainder, cross tables."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.numbers import percent_of
+from ledgerloom.session import stage
 
 
 def share_of_total(grouped: DataFrame, measure: str, name: str) -> DataFrame:
-    """Add the unrounded percentage of the total. The total is one scalar, not a global window."""
-    total = grouped.agg(F.sum(measure)).scalar()
-    return grouped.withColumn(name, percent_of(F.col(measure), total))
+    """Add the unrounded percentage of the total.
 
-
-def top_keys(df: DataFrame, key: str, measure: str, n: int) -> DataFrame:
-    """The `n` keys with the largest sum; ties go to the smaller key."""
-    sums = df.groupBy(key).agg(F.sum(measure).alias("_sum"))
-    return sums.orderBy(F.col("_sum").desc_nulls_last(), F.col(key)).limit(n).select(key)
+    The total is one scalar instead of a window that pulls all groups into one task. The groups
+    are staged, because total and rows would otherwise each aggregate the source.
+    """
+    groups = stage(grouped, "groups")
+    total = groups.agg(F.sum(measure)).scalar()
+    return groups.withColumn(name, percent_of(F.col(measure), total))
 
 
 def top_n_with_other(
@@ -41,20 +41,3 @@ def cross_table(df: DataFrame, rows: str, columns: str, values: Sequence[str]) -
     """Counts per pair, one column per entry of `values`, zero where a pair does not occur."""
     pivoted = df.groupBy(rows).pivot(columns, list(values)).agg(F.count(F.lit(1)))
     return pivoted.na.fill(0, list(values))
-
-
-def quantile_by(
-    df: DataFrame, key: str, value: str, probability: float, name: str, where: Column | None = None
-) -> DataFrame:
-    """Exact, interpolated quantile of `value` per key.
-
-    Equal values are counted first, spread over (key, value); the final step of a key then
-    holds its distinct values only, which for money in cents or whole years is bounded by the
-    range of the measure and not by the rows.
-    """
-    chosen = df.filter(F.col(value).isNotNull() if where is None else where & F.col(value).isNotNull())
-    counted = chosen.groupBy(key, F.col(value).cast("double").alias("_v")).agg(
-        F.count("*").alias("_n")
-    )
-    quantile = F.percentile("_v", F.lit(probability), F.col("_n"))
-    return counted.groupBy(key).agg(quantile.alias(name))

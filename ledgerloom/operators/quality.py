@@ -201,20 +201,26 @@ def _referential(df, dataset, spec, references) -> list[DataFrame]:
 
 
 def _distribution(df, dataset, spec, references) -> list[DataFrame]:
+    """Largest share per column; the values of all columns are counted in one pass."""
     rule = spec.get("distribution_max_share")
-    parts = []
-    for c in rule["columns"] if rule else ():
-        if c in df.columns:
-            counted = df.filter(F.col(c).isNotNull()).groupBy(c).agg(F.count("*").alias("n"))
-            top = counted.agg(
-                (F.max("n") / F.sum("n")).alias("share"),
-                F.max_by(F.col(c).cast("string"), F.struct(F.col("n"), F.col(c))).alias("top"),
-            ).filter("share is not null")
-            parts.append(top.select(*_rows(
-                dataset, "distribution", c, "top_share", F.col("share"),
-                F.col("share") > rule["threshold"], F.col("top"),
-            )))
-    return parts
+    columns = [c for c in rule["columns"] if c in df.columns] if rule else []
+    if not columns:
+        return []
+    values = df.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
+        for c in columns
+    ]))).filter("value is not null")
+    counted = values.groupBy("column_name", "value").agg(F.count("*").alias("n"))
+    top = counted.groupBy("column_name").agg(
+        (F.max("n") / F.sum("n")).alias("share"),
+        F.max_by("value", F.struct("n", "value")).alias("top"),
+    )
+    named = _rows(
+        dataset, "distribution", "", "top_share", F.col("share"),
+        F.col("share") > rule["threshold"], F.col("top"),
+    )
+    named[2] = F.col("column_name")
+    return [top.select(*named)]
 
 
 def _outliers(df, dataset, spec, references) -> list[DataFrame]:

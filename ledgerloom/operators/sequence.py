@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -13,6 +13,11 @@ from ledgerloom.session import stage
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number of a task in the low 33 bits
 
 
+def task_of(position: str) -> Column:
+    """The task that wrote a row, from its monotonically increasing id."""
+    return F.shiftright(position, _ROW_BITS)
+
+
 def dense_key(df: DataFrame, name: str, order_by: Sequence[str]) -> DataFrame:
     """Number the rows 1, 2, 3, … in the order of `order_by`, which must be a total order.
 
@@ -27,7 +32,7 @@ def dense_key(df: DataFrame, name: str, order_by: Sequence[str]) -> DataFrame:
         .withColumn("_position", F.monotonically_increasing_id())
     )
     rows = stage(ranged, f"dense-{name}")
-    task = F.shiftright("_position", _ROW_BITS)
+    task = task_of("_position")
     sizes = rows.groupBy(task.alias("_task")).agg(F.count("*").alias("_rows"))
     before = W.orderBy("_task").rowsBetween(W.unboundedPreceding, -1)
     offsets = sizes.select(

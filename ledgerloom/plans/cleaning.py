@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 
 from ledgerloom import rules
 from ledgerloom.functions import dates, numbers, text
-from ledgerloom.operators.grouping import quantile_by
 from ledgerloom.operators.joins import lookup_join
 from ledgerloom.operators.keyed import keep_first
 from ledgerloom.operators.profile import long_form
+from ledgerloom.operators.quantile import quantile_by
 from ledgerloom.session import stage
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import dates
 from ledgerloom.functions.numbers import percent_of
-from ledgerloom.operators.grouping import top_keys, top_n_with_other
+from ledgerloom.operators.grouping import top_n_with_other
 
 
 def slice_projects(
@@ -63,8 +63,13 @@ def trend_of_top_categories(
     """Monthly spend of the `n` categories with the highest total."""
     month = dates.year_month(F.col("transaction_date")).alias("ym")
     monthly = transactions.groupBy(month, "category").agg(F.sum(amount).alias("spend"))
-    top = F.broadcast(top_keys(monthly, "category", "spend", n))  # n rows
-    return monthly.join(top, "category", "left_semi").select("ym", "category", "spend").orderBy(
+    # A category brings its months along (one entry per calendar month), so the transactions are
+    # read once and nothing is joined back.
+    per_category = monthly.groupBy("category").agg(
+        F.sum("spend").alias("_total"), F.collect_list(F.struct("ym", "spend")).alias("_months")
+    )
+    top = per_category.orderBy(F.col("_total").desc_nulls_last(), "category").limit(n)
+    return top.select("category", F.inline("_months")).select("ym", "category", "spend").orderBy(
         "ym", "category"
     )
 

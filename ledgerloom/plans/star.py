@@ -103,15 +103,15 @@ def fact_rows(
     transactions: DataFrame, project_dim: DataFrame, vendor_dim: DataFrame, employee_dim: DataFrame
 ) -> DataFrame:
     """Enriched transactions with all surrogate keys but their own."""
-    keyed = transactions.join(
-        project_dim.select("project_id", "project_key"), "project_id"
-    ).join(vendor_dim.select("vendor_id", "vendor_key"), "vendor_id")
     approved = as_of_join(
-        keyed, employee_dim,
+        transactions, employee_dim,
         key="approved_by", day="transaction_date", version_key="employee_id",
         value="employee_key", name="employee_key",
     )
-    return approved.select(
+    keyed = approved.join(
+        project_dim.select("project_id", "project_key"), "project_id"
+    ).join(vendor_dim.select("vendor_id", "vendor_key"), "vendor_id")
+    return keyed.select(
         "transaction_id", "project_key", "employee_key", "vendor_key",
         dates.date_key(F.col("transaction_date")).alias("date_key"),
         F.col("amount_aed").cast(schemas.MONEY).alias("amount"),

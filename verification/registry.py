@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from ledgerloom import rules
 from ledgerloom.functions import text
-from ledgerloom.operators import grouping, joins, keyed, profile, quality, sequence
+from ledgerloom.operators import grouping, joins, keyed, profile, quality, quantile, sequence
 from ledgerloom.plans import cleaning, dashboard, events, policy, questions, scd2, star
 from ledgerloom.session import new_path, stage
 from ledgerloom.streaming import feed, live
@@ -245,7 +245,7 @@ def status_risk_crosstab(spark, sf):
 @query
 def level_quantile_screen(spark, sf):
     staff = v.employees(spark, sf)
-    limit = stage(grouping.quantile_by(staff, "level", "salary", 0.99, "_p99"), "level-p99")
+    limit = stage(quantile.quantile_by(staff, "level", "salary", 0.99, "_p99"), "level-p99")
     screened = staff.join(limit.withColumnRenamed("level", "_level"), F.col("level") == F.col("_level"))
     odd = (F.col("salary").cast("double") > F.col("_p99") * 0.95) | (F.col("years_experience") < 0)
     return screened.filter(odd).select("row_seq", "employee_id", "level", "salary", "years_experience")
@@ -253,7 +253,15 @@ def level_quantile_screen(spark, sf):
 
 @query
 def level_medians(spark, sf):
-    return grouping.quantile_by(v.employees(spark, sf), "level", "salary", 0.5, "median_salary")
+    return quantile.quantile_by(v.employees(spark, sf), "level", "salary", 0.5, "median_salary")
+
+
+@query
+def level_medians_by_rank(spark, sf):
+    """The same medians on the path taken when a task cannot hold all distinct values."""
+    return quantile.quantile_by(
+        v.employees(spark, sf), "level", "salary", 0.5, "median_salary", in_one_task=0
+    )
 
 
 @query
