@@ -26,8 +26,8 @@ def carry_last(
     A window per key would put a whole hot key into one task. Here a window works inside one
     (key, time bucket); what enters a bucket from before is looked up in a summary with one
     row per key and bucket, which partial aggregation builds. `lookup` adds columns per key
-    (unique `key`) on the way through that summary. Rows without key or time carry nothing and
-    are spread over buckets of their own.
+    (unique `key`) on the way through that summary, also to rows without time. Rows without key
+    or time carry nothing and are spread over buckets of their own.
     """
     usable = F.col(key).isNotNull() & F.col(time).isNotNull()
     spread = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns if c != value and not _is_map(df, c)]),
@@ -39,7 +39,7 @@ def carry_last(
     order = F.struct(F.col(time), *tie)
     has_value = F.col("_usable") & F.col(value).isNotNull()
     tails = (
-        rows.filter(F.col("_usable"))
+        rows.filter(F.col(key).isNotNull())
         .groupBy(key, "_bucket")
         .agg(F.max_by(F.col(value), F.when(has_value, order)).alias("_tail"))
     )
