@@ -40,6 +40,28 @@ EVENTS = _struct(
     timestamp=T.TimestampType(), payload=T.MapType(_text, _text),
 )
 
+
+
+def _extended(base: T.StructType, **fields: T.DataType) -> T.StructType:
+    """`base` with columns added or retyped."""
+    kept = [T.StructField(f.name, fields.pop(f.name, f.dataType)) for f in base]
+    return T.StructType([*kept, *_struct(**fields)])
+
+
+_flag = T.BooleanType()
+
+CLEAN = {
+    "projects": _extended(
+        PROJECTS, budget_variance=_money, is_over_budget=_flag, duration_days=_int,
+        budget_utilisation_pct=_money, status_category=_text, risk_level=_text,
+    ),
+    "employees": _extended(EMPLOYEES, hire_date=_date, dq_flags=_text),
+    "transactions": _extended(
+        TRANSACTIONS, project_name=_text, department=_text, approver_name=_text,
+        is_approved=_flag, amount_aed=_money, transaction_year_month=_text,
+    ),
+}
+
 MONEY = T.DecimalType(18, 2)
 SALARY = T.DecimalType(12, 2)
 PERCENT = T.DecimalType(9, 2)
