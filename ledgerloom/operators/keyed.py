@@ -48,5 +48,5 @@ def dangling(df: DataFrame, key: str, reference: DataFrame, ref_key: str) -> Dat
     The values are counted before the join, so a hot value crosses the network once per task.
     """
     values = df.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("value")).count()
-    known = reference.select(F.col(ref_key).alias("value"))
+    known = reference.select(F.col(ref_key).alias("value")).distinct()
     return values.join(known, "value", "left_anti").withColumnRenamed("count", "rows")

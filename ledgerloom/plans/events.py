@@ -26,7 +26,7 @@ def add_date_parts(events: DataFrame) -> DataFrame:
 def clean_events(events: DataFrame) -> DataFrame:
     """Drop events without id or user, keep the earliest copy of each id, add date parts.
 
-    Copies with equal time are told apart by their other columns, so reruns agree.
+    Copies with equal time are told apart by type, project and user, so reruns agree.
     """
     complete = events.dropna(subset=["event_id", "user_id"])
     order: list[Column] = [F.col("timestamp").asc_nulls_last()]

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
 from ledgerloom import rules, schemas
+from ledgerloom.plans.reports import write_document
 from ledgerloom.session import new_path
 
 log = logging.getLogger(__name__)
@@ -174,25 +175,64 @@ def count_to_snapshot(events: DataFrame, path: str, **options) -> StreamingQuery
 
 
 def route_critical(events: DataFrame, sink: Sink, **options) -> StreamingQuery:
-    return run(as_messages(critical_escalations(events)), sink, name="route", **options)
+    routed = as_messages(critical_escalations(events))
+    counted = routed.observe("forwarded", F.count(F.lit(1)).alias("rows"))
+    return run(counted, sink, name="route", **options)
+
+
+def forwarded_rows(query: StreamingQuery) -> int:
+    """Messages a `route_critical` query has passed on."""
+    return sum(p.observedMetrics["forwarded"]["rows"] for p in query.recentProgress
+               if "forwarded" in p.observedMetrics)
+
+
+def throughput(query: StreamingQuery) -> tuple[float, float]:
+    """Rows per second and seconds of the recent batches; idle waits are not batches."""
+    seconds = sum(p.batchDuration for p in query.recentProgress) / 1000
+    rows = sum(p.numInputRows for p in query.recentProgress)
+    return rows / max(seconds, 1e-9), seconds
 
 
 def stream_summary(
     counts: dict[str, int], forwarded: int, query: StreamingQuery, run_at: str
 ) -> dict:
-    """Totals of one run; throughput counts the time batches were active, not idle waits."""
-    active = sum(p["batchDuration"] for p in query.recentProgress) / 1000
-    total = sum(counts.values())
+    """Totals of one run of the counting query."""
+    rate, seconds = throughput(query)
     return {
         "run_at": run_at,
         "topic": EVENTS_TOPIC,
-        "total_messages_consumed": total,
+        "total_messages_consumed": sum(counts.values()),
         "event_counts": dict(sorted(counts.items())),
         "critical_escalations_forwarded": forwarded,
         "forwarded_to_topic": ESCALATIONS_TOPIC,
-        "throughput_messages_per_second": round(total / max(active, 1e-9), 2) if total else 0.0,
-        "elapsed_seconds": round(active, 2),
+        "throughput_messages_per_second": round(rate, 2) if counts else 0.0,
+        "elapsed_seconds": round(seconds, 2),
+    }
+
+
+COUNTS = T.StructType([
+    T.StructField("event_type", T.StringType()), T.StructField("messages", T.LongType()),
+])
+
+
+def consume(events: DataFrame, folder: str, forward: Sink, run_at: str) -> dict:
+    """Count all messages, forward the critical ones, write the summary of the run.
+
+    Both queries keep their offsets below `folder`, so a later run takes up new messages only.
+    Collects one row per event type.
+    """
+    spark = events.sparkSession
+    counted = count_to_snapshot(
+        events, f"{folder}/counts", checkpoint=f"{folder}/offsets/counts"
+    )
+    routed = route_critical(events, forward, checkpoint=f"{folder}/offsets/route")
+    counts = {
+        r["event_type"]: r["messages"]
+        for r in read_snapshot(spark, f"{folder}/counts", COUNTS).collect()
     }
+    summary = stream_summary(counts, forwarded_rows(routed), counted, run_at)
+    write_document(spark, summary, f"{folder}/summary")
+    return summary
 
 
 class ProgressLog(StreamingQueryListener):

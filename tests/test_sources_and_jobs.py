@@ -41,6 +41,14 @@ def test_suspect_dates_stay_text_and_order_is_kept(spark, raw):
     assert got[1]["hire_date"] == "-999"
 
 
+def test_positions_follow_file_names_not_file_sizes(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("k,v\nx,1\n")
+    (tmp_path / "b.csv").write_text("k,v\n" + "".join(f"x,{i}\n" for i in range(2, 5000)))
+    schema = T.StructType().add("k", T.StringType()).add("v", T.IntegerType())
+    got = readers.read_csv_in_order(spark, str(tmp_path / "*.csv"), schema).orderBy("row_seq")
+    assert [r["v"] for r in got.collect()] == list(range(1, 5000))
+
+
 def test_json_records_are_typed_tolerantly(spark, raw):
     got = {r["transaction_id"]: r for r in
            readers.read_transactions(spark, raw["transactions"]).collect()}
@@ -92,7 +100,7 @@ def test_partitioned_write_splits_by_value_and_counts(spark, tmp_path):
 def test_csv_dates(spark, tmp_path):
     df = spark.createDataFrame([(1, dt.date(2024, 2, 3), 'say "hi", ok')], "a int, d date, s string")
     assert writers.write_csv(df, str(tmp_path / "c")) == 1
-    text = next((tmp_path / "c").glob("*.csv")).read_text()
+    text = "".join(p.read_text() for p in (tmp_path / "c").glob("*.csv"))
     assert text.splitlines()[0] == "a,d,s" and "2024-02-03" in text
     assert readers.read_csv(spark, str(tmp_path / "c"), df.schema).first()["s"] == 'say "hi", ok'
 

@@ -9,9 +9,7 @@ from pyspark.sql import types as T
 
 from ledgerloom.streaming import feed, live
 
-COUNTS = T.StructType([
-    T.StructField("event_type", T.StringType()), T.StructField("messages", T.LongType())
-])
+COUNTS = feed.COUNTS
 
 
 @pytest.fixture
@@ -51,16 +49,27 @@ def test_publish_then_route(spark, folder, tmp_path):
     assert value["timestamp"] == "2025-01-12T08:00:00Z" and value["produced_at"].endswith("+00:00")
 
     messages = feed.decode(spark.readStream.schema(schema).parquet(topic))
-    query = feed.route_critical(messages, feed.file_sink(critical))
+    feed.route_critical(messages, feed.file_sink(critical))
     routed = spark.read.schema(schema).parquet(critical)
     assert routed.count() == 1
     forwarded = json.loads(routed.first()["value"])
     assert forwarded["event_id"] == "e1" and forwarded["produced_at"]
-    summary = feed.stream_summary({"login": 1, "a": 5}, 1, query, "now")
-    assert summary["total_messages_consumed"] == 6
-    assert list(summary["event_counts"]) == ["a", "login"]
-    assert summary["critical_escalations_forwarded"] == 1
-    assert summary["throughput_messages_per_second"] > 0
+
+
+def test_consume_writes_a_summary_and_takes_up_new_messages_only(spark, folder, tmp_path):
+    out = str(tmp_path / "run")
+    forward = feed.file_sink(str(tmp_path / "critical"))
+    first = feed.consume(stream(spark, folder), out, forward, "now")
+    assert first["total_messages_consumed"] == 6 and first["critical_escalations_forwarded"] == 1
+    assert list(first["event_counts"]) == [
+        "escalation_raised", "escalation_resolved", "login", "unknown"]
+    assert first["throughput_messages_per_second"] > 0 and first["elapsed_seconds"] > 0
+    text = "".join(p.read_text() for p in (tmp_path / "run" / "summary").glob("part-*"))
+    assert json.loads(text) == first
+    late = {**samples.EVENTS[0], "event_id": "e9"}
+    (tmp_path / "events" / "events_2025_03.jsonl").write_text(json.dumps(late) + "\n")
+    again = feed.consume(stream(spark, folder), out, forward, "later")
+    assert again["total_messages_consumed"] == 7 and again["critical_escalations_forwarded"] == 1
 
 
 def test_progress_log(spark, folder, tmp_path, caplog):

@@ -654,10 +654,7 @@ def _event_stream(spark, sf):
 def stream_event_counts(spark, sf):
     path = new_path(spark, "counts")
     feed.count_to_snapshot(_event_stream(spark, sf), path)
-    schema = T.StructType([
-        T.StructField("event_type", T.StringType()), T.StructField("messages", T.LongType())
-    ])
-    return feed.read_snapshot(spark, path, schema)
+    return feed.read_snapshot(spark, path, feed.COUNTS)
 
 
 @query
