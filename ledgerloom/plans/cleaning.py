@@ -14,7 +14,7 @@ from ledgerloom.functions import dates, numbers, text
 from ledgerloom.operators.joins import lookup_join
 from ledgerloom.operators.keyed import keep_first
 from ledgerloom.operators.profile import long_form
-from ledgerloom.operators.quantile import quantile_by
+from ledgerloom.operators.quantile import quantiles_by
 from ledgerloom.session import stage
 
 
@@ -215,16 +215,22 @@ def _repair_numbers(df: DataFrame, raw: DataFrame, limits: EmployeeRules) -> Dat
 
 def _level_medians(raw: DataFrame, limits: EmployeeRules) -> DataFrame:
     """Median experience of non-negative rows and median salary of in-band rows, per level."""
-    years = quantile_by(
-        raw, "level", "years_experience", 0.5, "_typical_years",
-        where=~numbers.known(F.col("years_experience") < 0),
-    )
-    salary = quantile_by(
-        raw, "level", "salary", 0.5, "_typical_salary",
-        where=~numbers.off_band(F.col("salary"), F.col("level"), limits.salary_bands),
-    )
-    both = years.join(salary, "level", "full").withColumnRenamed("level", "_level")
-    return stage(both, "level-medians")
+    years, salary = F.col("years_experience"), F.col("salary")
+    usable_years = F.when(~numbers.known(years < 0), years.cast("double"))
+    off = numbers.off_band(salary, F.col("level"), limits.salary_bands)
+    measures = {
+        "_typical_years": usable_years, "_typical_salary": F.when(~off, salary.cast("double")),
+    }
+    values = raw.select(F.inline(F.array(*[
+        F.struct(F.struct("level", F.lit(name).alias("measure")).alias("of"), value.alias("value"))
+        for name, value in measures.items()
+    ])))
+    medians = quantiles_by(values, "of", "value", [0.5], "_q")
+    per_level = medians.groupBy(F.col("of.level").alias("_level")).agg(*[
+        F.max(F.when(F.col("of.measure") == name, F.col("_q")[0])).alias(name)
+        for name in measures
+    ])
+    return stage(per_level, "level-medians")
 
 
 def _repair_managers(df: DataFrame, raw: DataFrame) -> DataFrame:

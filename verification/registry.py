@@ -11,8 +11,9 @@ from pyspark.sql import types as T
 from ledgerloom import rules
 from ledgerloom.functions import text
 from ledgerloom.operators import grouping, joins, keyed, profile, quality, quantile, sequence
-from ledgerloom.plans import cleaning, dashboard, events, policy, questions, scd2, star
+from ledgerloom.plans import cleaning, dashboard, events, jobs, policy, questions, scd2, star
 from ledgerloom.session import new_path, stage
+from ledgerloom.sources import writers
 from ledgerloom.streaming import feed, live
 from verification import views as v
 
@@ -118,6 +119,11 @@ def monthly_spend_last_year(spark, sf):
     return questions.monthly_spend_trend(rows, last_months=282, as_of=v.AS_OF)
 
 
+@query
+def category_trend(spark, sf):
+    return questions.category_trend(spend(spark, sf, "category", "transaction_date"), "ECONOMY")
+
+
 @query
 def dept_budget_performance(spark, sf):
     return questions.department_budget_performance(clean_projects(spark, sf), over_pct=50)
@@ -594,6 +600,42 @@ def peak_usage_analysis(spark, sf):
     return events.peak_usage_analysis(clean_events(spark, sf))
 
 
+@query
+def event_job(spark, sf):
+    """The whole event job; rows of every table it wrote."""
+    folder = new_path(spark, "event-job")
+    jobs.event_tables(v.events_delivered_twice(spark, sf), folder)
+    counts = [
+        spark.read.parquet(f"{folder}/{name}").agg(
+            F.lit(name).alias("table_name"), F.count("*").alias("rows")
+        )
+        for name in events.EVENT_TABLES
+    ]
+    result = counts[0]
+    for one in counts[1:]:
+        result = result.unionByName(one)
+    return result
+
+
+@query
+def foundations_job(spark, sf):
+    """Raw files in, clean files and summaries out; everything the run counted."""
+    folder = new_path(spark, "foundations")
+    raw = {
+        "projects": v.projects(spark, sf),
+        "employees": v.employees(spark, sf).orderBy("row_seq").drop("row_seq"),
+        "history": v.history(spark, sf).orderBy("row_seq").drop("row_seq").withColumns({
+            "previous_role": F.lit(None).cast("string"),
+            "previous_level": F.lit(None).cast("string"),
+        }),
+    }
+    for name, df in raw.items():
+        writers.write_csv(df, f"{folder}/raw/{name}")
+    inputs = jobs.Inputs(*[f"{folder}/raw/{name}" for name in raw])
+    run = jobs.foundations(spark, inputs, f"{folder}/out", v.LIMITS)
+    return jobs.metrics_table(spark, run)
+
+
 # --- dashboard --------------------------------------------------------------------------------
 
 @query
