@@ -11,6 +11,7 @@ from ledgerloom import rules, schemas
 from ledgerloom.functions import dates
 from ledgerloom.operators.joins import as_of_join
 from ledgerloom.operators.sequence import dense_key
+from ledgerloom.session import stage
 
 MANAGER_ROLE = "Project Manager"
 APPROVER_ROLE = "Approver"
@@ -123,7 +124,9 @@ def fact_rows(
 def fact_transactions(
     transactions: DataFrame, project_dim: DataFrame, vendor_dim: DataFrame, employee_dim: DataFrame
 ) -> DataFrame:
-    rows = fact_rows(transactions, project_dim, vendor_dim, employee_dim)
+    """Facts with their own dense key. Numbering samples its input before it sorts it, so the
+    joined rows are staged instead of being joined twice."""
+    rows = stage(fact_rows(transactions, project_dim, vendor_dim, employee_dim), "fact-rows")
     return dense_key(rows, "transaction_key", ["transaction_id"])
 
 

@@ -50,6 +50,17 @@ def clean_projects(spark, sf):
     return cleaning.clean_projects(v.projects(spark, sf))
 
 
+def project_money(spark, sf):
+    """Clean projects without the columns that need their place in the organisation."""
+    columns = [c for c in v.PROJECT_COLUMNS if c not in ("department", "region")]
+    return cleaning.clean_projects(v.projects(spark, sf, *columns))
+
+
+def project_keys(spark, sf):
+    """The keys of `dim_project`, for loads that look nothing else up."""
+    return sequence.dense_key(v.projects(spark, sf, "project_id"), "project_key", ["project_id"])
+
+
 def checked_employees(spark, sf):
     return cleaning.check_employees(v.employees(spark, sf), v.history(spark, sf), v.LIMITS)
 
@@ -131,7 +142,7 @@ def dept_budget_performance(spark, sf):
 
 @query
 def manager_workload(spark, sf):
-    return questions.manager_workload(clean_projects(spark, sf), people(spark, sf), more_than=6)
+    return questions.manager_workload(project_money(spark, sf), people(spark, sf), more_than=6)
 
 
 @query
@@ -153,14 +164,14 @@ def largest_increases(spark, sf):
 @query
 def above_avg_pending(spark, sf):
     return questions.above_average_pending(
-        pending_columns(spark, sf), clean_projects(spark, sf), people(spark, sf)
+        pending_columns(spark, sf), project_money(spark, sf), people(spark, sf)
     )
 
 
 @query
 def above_avg_pending_comma_join(spark, sf):
     return questions.above_average_pending_sql(
-        pending_columns(spark, sf), clean_projects(spark, sf), people(spark, sf)
+        pending_columns(spark, sf), project_money(spark, sf), people(spark, sf)
     )
 
 
@@ -479,7 +490,7 @@ def dim_date(spark, sf):
 
 @query
 def dim_project(spark, sf):
-    return star.dim_project(clean_projects(spark, sf))
+    return star.dim_project(stage(clean_projects(spark, sf), "projects"))
 
 
 @query
@@ -490,7 +501,7 @@ def dim_vendor(spark, sf):
 def _dimensions(spark, sf):
     """Dense keys are staged already, so the dimensions are read back, not computed again."""
     return (
-        star.dim_project(clean_projects(spark, sf)),
+        project_keys(spark, sf),
         star.dim_vendor(v.transactions(spark, sf, "vendor_id", "vendor_name")),
         employee_versions(spark, sf),
     )
@@ -498,11 +509,12 @@ def _dimensions(spark, sf):
 
 @query
 def bridge_employee_project(spark, sf):
-    project_dim, _, employee_dim = _dimensions(spark, sf)
+    project_dim, employee_dim = project_keys(spark, sf), employee_versions(spark, sf)
     links = v.transactions(spark, sf, "project_id", "approved_by", "transaction_date")
-    return star.bridge_employee_project(
-        clean_projects(spark, sf), links, project_dim, employee_dim
+    managed = v.projects(
+        spark, sf, "project_id", "project_manager_id", "start_date", "end_date"
     )
+    return star.bridge_employee_project(managed, links, project_dim, employee_dim)
 
 
 @query
@@ -514,8 +526,11 @@ def fact_transactions(spark, sf):
 @query
 def star_reconciliation(spark, sf):
     project_dim, vendor_dim, employee_dim = _dimensions(spark, sf)
-    projects, rows = clean_projects(spark, sf), enriched(spark, sf)
-    bridge = star.bridge_employee_project(projects, rows, project_dim, employee_dim)
+    managed = v.projects(
+        spark, sf, "project_id", "project_manager_id", "start_date", "end_date"
+    )
+    rows = enriched(spark, sf)
+    bridge = star.bridge_employee_project(managed, rows, project_dim, employee_dim)
     fact = star.fact_rows(rows, project_dim, vendor_dim, employee_dim)
     return star.row_counts(project_dim, employee_dim, vendor_dim, bridge, fact)
 

@@ -88,6 +88,7 @@ _PROJECT = {
     "priority": _priority,
     "region": lambda: F.col("r_name"),
 }
+PROJECT_COLUMNS = tuple(_PROJECT)
 
 
 def employees(spark: SparkSession, sf_dir: str) -> DataFrame:
