@@ -1,6 +1,6 @@
 """Headline queries on $BENCH_SF_DIR with local[$BENCH_CPUS]; prints one JSON line.
 
-Start-up is excluded; each query runs once to warm up and then the median of three runs counts.
+Start-up is excluded; each query runs once to warm up and then the median of two runs counts.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ HEADLINE = [
     "user_activity_summary", "escalation_log", "daily_event_volume", "peak_usage_analysis",
     "numeric_summary", "stream_event_counts", "stream_critical_route",
 ]
-RUNS = 3
+RUNS = 2
 
 
 def main() -> None:

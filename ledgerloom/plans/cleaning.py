@@ -48,6 +48,7 @@ def clean_projects(projects: DataFrame) -> DataFrame:
 def project_fixes(projects: DataFrame) -> DataFrame:
     """Rows touched per fix of `clean_projects`, from the raw table."""
     status = text.normalise_label(F.col("status"))
+    # Names of the fixes.
     counted = {
         "null budget -> 0": F.count_if(F.col("budget").isNull()),
         "null actual_cost -> 0": F.count_if(F.col("actual_cost").isNull()),
@@ -300,6 +301,7 @@ def employee_detections(checked: DataFrame) -> DataFrame:
     blank = F.col("bad_blank_email")
     for c in REQUIRED_TEXT:
         blank = blank | F.col(f"bad_blank_{c}")
+    # Names of the issues.
     issues = {
         "Missing values": blank,
         "Invalid date formats": F.col("bad_date_format"),
@@ -318,6 +320,7 @@ def employee_detections(checked: DataFrame) -> DataFrame:
 def employee_fixes(checked: DataFrame) -> DataFrame:
     """Rows (for trimming: cells) touched per fix, in one pass."""
     bad_date = F.col("bad_date_format") | F.col("bad_date_range")
+    # Names of the fixes.
     fixes = {
         f"missing {c} (unfixable)": F.count_if(F.col(f"bad_blank_{c}")) for c in REQUIRED_TEXT
     }
