@@ -20,6 +20,7 @@ from ledgerloom.llm.support import fold, ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+ORACLES: dict[str, str] = {}
 END_OF_TEXT = 2
 
 
