@@ -4,10 +4,10 @@ import pytest
 
 import __spark_entry__
 from verification import compare
+from verification.oracles import ORACLES as SQL
+from verification.registry import QUERIES as ENTRY
 
 SF = "/root/testdata/sf0.001"
-ENTRY = __spark_entry__.queries()
-SQL = __spark_entry__.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +17,8 @@ def duck():
 
 def test_every_query_has_its_statement():
     assert set(ENTRY) == set(SQL)
+    assert set(ENTRY) <= set(__spark_entry__.queries())
+    assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
 
 
 @pytest.mark.parametrize("name", ENTRY)
