@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm import (
     byte_bpe,
+    chosen_path,
     histogram_sort,
     language_centroids,
     multiset_hash,
@@ -44,6 +45,11 @@ def op2_rans_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rans_store.round_trip(docs, public_tokenizers.path("word_bpe_49k.json"), END_OF_TEXT)
 
 
+@query
+def op3_chosen_path_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosen_path.near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
+
+
 @query
 def op4_language_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")

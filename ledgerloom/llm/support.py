@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 from ledgerloom.session import new_path
 
+#: Rows of one Arrow batch.
+BATCH_ROWS = 1_000
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 
@@ -93,6 +95,8 @@ def ship(spark: SparkSession) -> None:
     """Hand this package to the executors, which need not have it installed. Its zip file is
     written to the shared folder and added to the application once."""
     context = spark.sparkContext
+    # whole texts go to Python: fewer of them at a time than of narrow rows
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     if getattr(context, "_ledgerloom_shipped", False):
         return
     root = Path(__file__).resolve().parent.parent
