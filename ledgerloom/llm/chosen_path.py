@@ -26,14 +26,13 @@ component and is kept; an empty table gives an empty result. Other columns are n
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from xxhash import xxh3_64_intdigest
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
 
 from ledgerloom.llm.support import col
 from ledgerloom.session import stage
@@ -45,13 +44,13 @@ TREES, LEVELS, POOL = 4, 4, 3
 #: Tokens by which a node branches.
 BRANCHES = 2
 #: A node is compared exhaustively up to so many open pairs per class.
-OPEN_PAIRS = 6
+OPEN_PAIRS = 12
+#: All nodes are compared exhaustively once the open pairs of the larger ones are so few per class.
+REST_PAIRS = 2
 #: A candidate pair agrees on this share of all tokens at least. For sets at the threshold that is
 #: more than five standard deviations below what they agree on.
 SKETCH_SHARE = 0.5
 _TOKENS = TREES * LEVELS * POOL
-_WORD = re.compile(r"[^\x20\x09-\x0D]+")
-_LOWER = {i: i + 32 for i in range(65, 91)}
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -59,7 +58,8 @@ _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 def shingle_hashes(text: str | None, words: int) -> np.ndarray:
     """Sorted 64-bit hashes of the distinct shingles of one text."""
-    found = _WORD.findall(text.translate(_LOWER)) if text else []
+    # of bytes, lower() means A to Z and split() means blanks and the control codes 9 to 13
+    found = text.encode("utf-8", "surrogatepass").lower().split() if text else []
     if not found:
         return np.empty(0, np.uint64)
     codes = np.fromiter(map(xxh3_64_intdigest, found), np.uint64, len(found))
@@ -76,16 +76,19 @@ def _scramble(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def minwise(shingles: np.ndarray, count: int = _TOKENS) -> np.ndarray:
-    """For each of `count` hash functions, 32 bits of the least hash of the set."""
-    result = np.empty(count, np.uint64)
-    with np.errstate(over="ignore"):
-        for i in range(count):
-            seed = _MIX * np.uint64(2 * i + 1)
-            mixed = (shingles ^ seed) * (seed | np.uint64(1))
-            mixed ^= mixed >> np.uint64(31)
-            result[i] = (mixed * np.uint64(0xBF58476D1CE4E5B9)).min()
-    return (_scramble(result) & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
+_SEEDS = (_MIX * np.arange(1, 2 * _TOKENS, 2, dtype=np.uint64))[:, None]
+
+
+def minwise(shingles: np.ndarray) -> np.ndarray:
+    """For each hash function, 32 bits of the least hash of the set."""
+    least = np.full(_TOKENS, np.iinfo(np.uint64).max, np.uint64)
+    for low in range(0, len(shingles), 4096):
+        mixed = shingles[None, low:low + 4096] ^ _SEEDS
+        mixed *= _SEEDS | np.uint64(1)
+        mixed ^= mixed >> np.uint64(31)
+        mixed *= np.uint64(0xBF58476D1CE4E5B9)
+        np.minimum(least, mixed.min(axis=1), out=least)
+    return (_scramble(least) & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
 
 
 def digest(shingles: np.ndarray) -> str | None:
@@ -142,31 +145,28 @@ def components(links: DataFrame) -> DataFrame:
     their own label, so that long chains close in few rounds."""
     both = links.select("a", "b").union(links.select(F.col("b"), F.col("a"))).where("a != b")
     edges = stage(both.distinct(), "links")
-    labels = stage(
-        edges.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("_least"))
-        .select("id", F.least("id", "_least").alias("component")), "labels"
+    labels = edges.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("_least")).select(
+        "id", F.least("id", "_least").alias("component")
     )
     while True:
-        near = edges.join(labels, edges["b"] == labels["id"]).select(
-            edges["a"].alias("id"), "component"
-        )
-        least = (
-            near.union(labels.select("id", "component"))
-            .groupBy("id").agg(F.min("component").alias("component"))
-        )
-        jump = labels.select(F.col("id").alias("component"), F.col("component").alias("_next"))
-        moved = least.join(jump, "component", "left").select(
-            "id", F.coalesce("_next", "component").alias("component")
-        )
-        after = stage(moved, "labels")
-        changed = after.join(labels.withColumnRenamed("component", "_old"), "id").where(
-            "component != _old"
-        )
-        if changed.isEmpty():
+        after = stage(_spread(edges, _spread(edges, labels)), "labels")
+        # labels only ever fall, and stay the same in a round if and only if they are final
+        same = _spread(edges, after).join(after.withColumnRenamed("component", "_old"), "id")
+        if same.where("component != _old").isEmpty():
             return after
         labels = after
 
 
+def _spread(edges: DataFrame, labels: DataFrame) -> DataFrame:
+    """One round: the least label among the neighbours, then that label's own label."""
+    near = edges.join(labels.withColumnRenamed("id", "b"), "b").select(F.col("a").alias("id"), "component")
+    least = near.union(labels).groupBy("id").agg(F.min("component").alias("component"))
+    jump = labels.select(F.col("id").alias("component"), F.col("component").alias("_next"))
+    return least.join(jump, "component", "left").select(
+        "id", F.coalesce("_next", "component").alias("component")
+    )
+
+
 # --- the trees --------------------------------------------------------------------------------
 
 def _branch(rows: DataFrame, level: int) -> DataFrame:
@@ -277,31 +277,39 @@ def links(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> Data
     rows = classes.select("rep", "tokens", trees).withColumn("node", F.xxhash64("tree"))
     found = spark.createDataFrame([], "a long, b long")
     sets = label = None
+    few = REST_PAIRS * classes.count()
     for level in range(LEVELS):
-        last = level == LEVELS - 1
         marked = _labelled(_branch(rows, level), label)
         nodes = _open_nodes(marked, level, label is None)
         rows = stage(marked.join(nodes, "node"), "nodes")
-        small = F.lit(True) if last else F.col("open") <= OPEN_PAIRS * F.col("size")
-        pairs = _exhaustive(rows.where(small))
+        small = F.col("open") <= OPEN_PAIRS * F.col("size")
+        # each row of a node carries its share of the node's open pairs
+        rest = rows.where(~small).agg(F.sum(F.col("open") / F.col("size"))).first()[0] or 0.0
+        last = level == LEVELS - 1 or rest <= few
+        pairs = _exhaustive(rows if last else rows.where(small))
         if not last:
             pairs = pairs.union(_to_leader(rows.where(~small)))
         pairs = stage(_promising(pairs.distinct(), classes, percent), "pairs")
-        if not pairs.isEmpty():
-            reps = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
-            if sets is not None:
-                reps = reps.join(sets.select("rep"), "rep", "left_anti")
-            wanted = stage(classes.select("rep", "key", "digest").join(reps, "rep"), "wanted")
+        reps = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
+        if sets is not None:
+            reps = reps.join(sets.select("rep"), "rep", "left_anti")
+        wanted = stage(classes.select("rep", "key", "digest").join(reps, "rep"), "wanted")
+        if not wanted.isEmpty():
             fetched = stage(full_sets(docs, wanted, words).dropDuplicates(["rep"]), "sets")
             sets = fetched if sets is None else sets.union(fetched)
-            found = found.union(stage(_confirmed(pairs, sets, percent), "links"))
-        large = rows.where(~small).select("rep", "tree", "node")
-        if last or large.isEmpty():
+        if sets is None:
+            break
+        new = stage(_confirmed(pairs, sets, percent), "links")
+        found = found.union(new)
+        if last:
             break
-        label = components(found)
-        still = _labelled(large, label)
-        open_ = _open_nodes(still, level, False).select("node")
-        rows = large.join(open_, "node", "left_semi").join(classes.select("rep", "tokens"), "rep")
+        if not new.isEmpty():
+            label = components(found)
+        large = rows.where(~small).select("rep", "tree", "node")
+        if label is not None:
+            still = _open_nodes(_labelled(large, label), level, False).select("node")
+            large = large.join(still, "node", "left_semi")
+        rows = large.join(classes.select("rep", "tokens"), "rep")
     return found
 
 

@@ -14,8 +14,11 @@ from ledgerloom.llm import (
     histogram_sort,
     language_centroids,
     multiset_hash,
+    projection_search,
     rans_store,
+    soft_mixing,
     toxic_automaton,
+    url_trees,
 )
 from ledgerloom.llm.support import fold, ship, table
 
@@ -37,6 +40,24 @@ def query(function: Query) -> Query:
     return run
 
 
+#: The rules of the URL filter: host, path, verdict.
+URL_RULES = [
+    url_trees.Rule("org", "/", url_trees.ALLOW),
+    url_trees.Rule("example.org", "/es/", url_trees.BLOCK),
+    url_trees.Rule("example.org", "/en/1", url_trees.ALLOW),
+    url_trees.Rule("com", "/fr/", url_trees.ALLOW),
+    url_trees.Rule("com", "/de/", url_trees.BLOCK),
+]
+
+
+@query
+def op1_url_boosted_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_trees.judge(pages, URL_RULES).select(
+        "page_id", "host", "path", "rule", "verdict", "block_score"
+    )
+
+
 @query
 def op2_rans_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
@@ -76,6 +97,14 @@ def op6_multiset_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multiset_hash.compare(table(spark, sf_dir, "documents"))
 
 
+@query
+def op7_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    mixed = soft_mixing.mix(docs, "source")
+    copies = soft_mixing.copies(F.col("rate"), F.col("doc_id"), F.col("text"))
+    return mixed.select("doc_id", "source", "tokens", "member", "rate", copies.alias("copies"))
+
+
 @query
 def op8_toxicity_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -95,3 +124,9 @@ def op9_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query
+def op10_projected_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return projection_search.nearest(vectors, F.col("id") % 50 == 0, projection_search.K)
