@@ -46,7 +46,7 @@ BRANCHES = 2
 #: A node is compared exhaustively up to so many open pairs per class.
 OPEN_PAIRS = 12
 #: All nodes are compared exhaustively once the open pairs of the larger ones are so few per class.
-REST_PAIRS = 2
+REST_PAIRS = 5
 #: A candidate pair agrees on this share of all tokens at least. For sets at the threshold that is
 #: more than five standard deviations below what they agree on.
 SKETCH_SHARE = 0.5
