@@ -3,6 +3,7 @@
 import hashlib
 import random
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -36,6 +37,7 @@ def odd(spark):
     return spark.createDataFrame(rows, SCHEMA)
 
 
+@lru_cache
 def library():
     return tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN,
                              mergeable_ranks=load_ranks(RANKS), special_tokens={})
