@@ -170,7 +170,7 @@ def above_avg_pending(spark, sf):
 
 @query
 def above_avg_pending_comma_join(spark, sf):
-    return questions.above_average_pending_sql(
+    return questions.above_average_pending_filtered(
         pending_columns(spark, sf), project_money(spark, sf), people(spark, sf)
     )
 

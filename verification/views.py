@@ -144,7 +144,9 @@ def employees(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Finished orders as pay changes; customers without one have no history."""
+    """Orders as pay changes. Every twentieth customer's go to the neighbour before, so that some
+    people have no history."""
+    person = F.col("o_custkey")
     change = (
         F.when(F.col("o_orderpriority") == "1-URGENT", "Hire")
         .when(F.col("o_orderpriority") == "2-HIGH", "Promotion")
@@ -152,9 +154,8 @@ def history(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return (
         table(spark, sf_dir, "orders")
-        .filter(F.col("o_orderstatus") == "F")
         .select(
-            F.col("o_custkey").alias("employee_id"),
+            F.when(person % 20 == 0, person - 1).otherwise(person).alias("employee_id"),
             F.when(change != "Hire", (F.col("o_totalprice") / 2).cast(MONEY))
             .alias("previous_salary"),
             F.col("o_totalprice").cast(MONEY).alias("new_salary"),
