@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom import rules
+from ledgerloom.session import stage
 from ledgerloom.functions import dates, numbers
 from ledgerloom.operators.keyed import dangling, duplicate_rows
 
@@ -376,23 +377,12 @@ def enforce_gate(
     """
     from ledgerloom.plans.reports import result_documents
 
-    measured = run_all(datasets, config=config, as_of=as_of)
-    documents = result_documents(measured, config)
+    measured = stage(run_all(datasets, config=config, as_of=as_of), "measured")
     found = [
-        f"{name}.{column} completeness {ratio:.0%} < {rules.CRITICAL_COMPLETENESS:.0%}"
-        for name, document in documents.items()
-        for column, ratio in _critical_of(name, document, config)
+        f"{r['dataset']}.{r['column_name']} is {r['completeness']:.0%} complete"
+        for r in critical_failures(measured, config).orderBy("dataset", "column_name").collect()
     ]
     if found:
-        raise DataQualityError("Data quality gate FAILED - critical issues: " + "; ".join(found))
-    return documents
-
-
-def _critical_of(name: str, document: dict, config: Mapping | None):
-    spec = (rules.QUALITY_RULES if config is None else config).get(name, {})
-    optional = set(spec.get("completeness_optional", ()))
-    ratios = document["results"].get("completeness", {}).get("details", {})
-    return [
-        (column, ratio) for column, ratio in ratios.items()
-        if ratio is not None and ratio < rules.CRITICAL_COMPLETENESS and column not in optional
-    ]
+        least = f"{rules.CRITICAL_COMPLETENESS:.0%}"
+        raise DataQualityError(f"the gate needs {least} of required columns: " + "; ".join(found))
+    return result_documents(measured, config)

@@ -348,16 +348,22 @@ def employee_fixes(checked: DataFrame) -> DataFrame:
 
 # --- transactions -----------------------------------------------------------------------------
 
+def _file_order(reference: DataFrame) -> list | None:
+    """Of several copies of a key the first in the file counts, where the order is known."""
+    return [F.col("row_seq")] if "row_seq" in reference.columns else None
+
+
 def enrich_transactions(
     transactions: DataFrame, projects: DataFrame, employees: DataFrame
 ) -> DataFrame:
     """Project and approver names, approval flag, amount without nulls, month."""
     named = lookup_join(
         transactions, projects, {"project_id": "project_id"},
-        {"project_name": "project_name", "department": "department"},
+        {"project_name": "project_name", "department": "department"}, _file_order(projects),
     )
     named = lookup_join(
-        named, employees, {"approved_by": "employee_id"}, {"full_name": "approver_name"}
+        named, employees, {"approved_by": "employee_id"}, {"full_name": "approver_name"},
+        _file_order(employees),
     )
     amount = transactions.schema["amount"].dataType
     return named.withColumns({

@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerloom import rules
 from ledgerloom.functions import dates
@@ -26,11 +27,16 @@ def add_date_parts(events: DataFrame) -> DataFrame:
 def clean_events(events: DataFrame) -> DataFrame:
     """Drop events without id or user, keep the earliest copy of each id, add date parts.
 
-    Copies with equal time are told apart by type, project and user, so reruns agree.
+    Copies with equal time are told apart by type, project, user and the entries of the payload in
+    order, so reruns agree whatever the order of the input.
     """
     complete = events.dropna(subset=["event_id", "user_id"])
     order: list[Column] = [F.col("timestamp").asc_nulls_last()]
     order += [F.col(c) for c in ("event_type", "project_id", "user_id")]
+    if "payload" in events.columns:
+        entries = events.schema["payload"].dataType
+        payload = F.array_sort(F.map_entries("payload")) if isinstance(entries, T.MapType) else F.col("payload")
+        order.append(F.to_json(F.struct(payload)))
     return add_date_parts(keep_first(complete, ["event_id"], order))
 
 

@@ -136,7 +136,10 @@ def snapshot_sink(path: str) -> Sink:
 
 
 def read_snapshot(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The result of the newest batch of `snapshot_sink`."""
+    """The result of the newest batch of `snapshot_sink`; no rows if no batch has run yet."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+        return spark.createDataFrame([], schema)
     table = spark.read.schema(
         T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
     ).parquet(path)
@@ -175,15 +178,13 @@ def count_to_snapshot(events: DataFrame, path: str, **options) -> StreamingQuery
 
 
 def route_critical(events: DataFrame, sink: Sink, **options) -> StreamingQuery:
-    routed = as_messages(critical_escalations(events))
-    counted = routed.observe("forwarded", F.count(F.lit(1)).alias("rows"))
-    return run(counted, sink, name="route", **options)
+    return run(as_messages(critical_escalations(events)), sink, name="route", **options)
 
 
-def forwarded_rows(query: StreamingQuery) -> int:
-    """Messages a `route_critical` query has passed on."""
-    return sum(p.observedMetrics["forwarded"]["rows"] for p in query.recentProgress
-               if "forwarded" in p.observedMetrics)
+def forwarded_to_snapshot(events: DataFrame, path: str, **options) -> StreamingQuery:
+    """How many messages are critical, over all batches and runs since the first."""
+    rows = critical_escalations(events).agg(F.count("*").alias("rows"))
+    return run(rows, snapshot_sink(path), mode="complete", name="forwarded", **options)
 
 
 def throughput(query: StreamingQuery) -> tuple[float, float]:
@@ -214,23 +215,29 @@ COUNTS = T.StructType([
     T.StructField("event_type", T.StringType()), T.StructField("messages", T.LongType()),
 ])
 
+FORWARDED = T.StructType([T.StructField("rows", T.LongType())])
+
 
 def consume(events: DataFrame, folder: str, forward: Sink, run_at: str) -> dict:
     """Count all messages, forward the critical ones, write the summary of the run.
 
-    Both queries keep their offsets below `folder`, so a later run takes up new messages only.
+    All queries keep their offsets below `folder`, so a later run takes up new messages only.
     Collects one row per event type.
     """
     spark = events.sparkSession
     counted = count_to_snapshot(
         events, f"{folder}/counts", checkpoint=f"{folder}/offsets/counts"
     )
-    routed = route_critical(events, forward, checkpoint=f"{folder}/offsets/route")
+    route_critical(events, forward, checkpoint=f"{folder}/offsets/route")
+    forwarded_to_snapshot(
+        events, f"{folder}/forwarded", checkpoint=f"{folder}/offsets/forwarded"
+    )
     counts = {
         r["event_type"]: r["messages"]
         for r in read_snapshot(spark, f"{folder}/counts", COUNTS).collect()
     }
-    summary = stream_summary(counts, forwarded_rows(routed), counted, run_at)
+    forwarded = sum(r["rows"] for r in read_snapshot(spark, f"{folder}/forwarded", FORWARDED).collect())
+    summary = stream_summary(counts, forwarded, counted, run_at)
     write_document(spark, summary, f"{folder}/summary")
     return summary
 

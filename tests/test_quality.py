@@ -29,18 +29,19 @@ def test_result_format_is_driven_by_the_configuration(spark):
     }
     details = {name: r["details"] for name, r in got["results"].items()}
     assert details["completeness"] == {"id": 1.0, "v": 1.0}
-    assert details["uniqueness"] == "id: 2 unique / 3 total (1 duplicates)"
-    assert details["validity_numeric"] == "v: 1 below min (0), 1 above max (100)"
+    assert details["uniqueness"] == "1 rows repeat a key of id (2 different keys in 3 rows)"
+    assert details["validity_numeric"] == "v leaves [0, 100]: 1 under, 1 over"
     assert got["results"]["validity_numeric"]["failed_columns"] == ["v"]
     text = reports.quality_markdown(got, "now")
-    assert "| uniqueness | ❌ FAIL | id | id: 2 unique / 3 total (1 duplicates) |" in text
-    assert "| completeness | ✅ PASS | — | id=100%, v=100% |" in text
+    assert text.index("## uniqueness (fail)") < text.index("## completeness (pass)")
+    assert "- 1 rows repeat a key of id" in text and "- id: 100.0% filled" in text
+    assert "Columns concerned: `id`" in text
 
 
 def test_no_configuration_runs_the_unconditional_checks(spark):
     got = document(spark, spark.createDataFrame([(1,)], "id int"), {})
     assert got["checks_run"] == got["checks_passed"] == 6
-    assert got["results"]["uniqueness"]["details"] == "no pk configured"
+    assert got["results"]["uniqueness"]["details"] == "the rules name no key"
 
 
 def test_completeness_counts_empty_text_and_nan(spark):
@@ -58,7 +59,7 @@ def test_dates(spark):
     )
     strict = {"t": {"date_columns": {"d": {"allow_future": False}, "absent": {}}}}
     got = document(spark, df, strict)["results"]["validity_date"]
-    assert got["details"] == "d: 1 unparseable, 1 in the future"
+    assert got["details"] == "d holds 1 unreadable and 1 later dates"
     lax = {"t": {"date_columns": {"d": {}}}}
     assert document(spark, df.filter("d <> 'nope'"), lax)["results"]["validity_date"][
         "status"] == "PASS"
@@ -80,7 +81,7 @@ def test_consistency(spark):
     got = document(spark, df, config)["results"]["consistency"]
     assert got["failed_columns"] == ["a", "b", "m", "s"]
     assert got["details"] == (
-        "a < b: 2 violations; m >= 0: 1 violations; salary within level band: 1 violations; "
+        "2 rows break a < b; 1 rows break m >= 0; 1 rows break salary within level band; "
         "unknown rule type magic"
     )
     only_unknown = document(spark, df, {"t": {"consistency_rules": [{"type": "magic"}]}})
@@ -94,7 +95,7 @@ def test_references(spark):
     got = document(spark, df, config)["results"]["referential_integrity"]
     assert got["failed_columns"] == ["boss"]
     assert got["details"] == (
-        "boss: 1 values missing in t.id; id: reference table 'elsewhere' unavailable (skipped)"
+        "1 values of boss are unknown to t.id; id was not compared: there is no elsewhere"
     )
 
 
@@ -107,11 +108,11 @@ def test_shares_age_and_outliers(spark):
         "outlier_zscore": {"threshold": 2, "columns": ["x"]},
     }}
     got = document(spark, df, config)["results"]
-    assert got["distribution"]["details"] == "k: 'a' = 70%"
+    assert got["distribution"]["details"] == "70% of k is 'a'"
     assert got["freshness"] == {
-        "status": "FAIL", "details": "latest d = 2026-08-01 (31 days old)", "failed_columns": ["d"]
+        "status": "FAIL", "details": "d ends 31 days ago, on 2026-08-01", "failed_columns": ["d"]
     }
-    assert got["outliers"]["details"] == "x: 1 values beyond 2 std dev"
+    assert got["outliers"]["details"] == "1 values of x lie over 2 deviations from the mean"
 
 
 def test_constant_column_has_no_outliers(spark):
@@ -126,7 +127,7 @@ def test_gate_blocks_incomplete_data(spark):
         "project_id string, budget double",
     )
     config = {"projects": {"completeness_threshold": 0.9}}
-    with pytest.raises(ValueError, match="Data quality gate FAILED.*projects.budget completeness 20%"):
+    with pytest.raises(ValueError, match="gate needs 80%.*projects.budget is 20% complete"):
         quality.enforce_gate({"projects": df}, as_of=AS_OF, config=config)
     optional = {"projects": {"completeness_optional": ["budget"]}}
     assert set(quality.enforce_gate({"projects": df}, as_of=AS_OF, config=optional)) == {"projects"}

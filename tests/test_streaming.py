@@ -69,7 +69,7 @@ def test_consume_writes_a_summary_and_takes_up_new_messages_only(spark, folder,
     late = {**samples.EVENTS[0], "event_id": "e9"}
     (tmp_path / "events" / "events_2025_03.jsonl").write_text(json.dumps(late) + "\n")
     again = feed.consume(stream(spark, folder), out, forward, "later")
-    assert again["total_messages_consumed"] == 7 and again["critical_escalations_forwarded"] == 1
+    assert again["total_messages_consumed"] == 7 and again["critical_escalations_forwarded"] == 2
 
 
 def test_progress_log(spark, folder, tmp_path, caplog):
