@@ -93,26 +93,42 @@ def fit(labelled: DataFrame, domains: list[str], per_domain: int = SAMPLE_PER_DO
     )
 
 
-def posteriors(docs: DataFrame, model: DomainModel, name: str, text: str = "text") -> DataFrame:
-    """All columns and the array of posteriors, in the order of the model's domains."""
+def posteriors(docs: DataFrame, model: DomainModel, name: str, text: str = "text",
+               tokens: str | None = None) -> DataFrame:
+    """All columns and the array of posteriors, in the order of the model's domains; with `tokens`,
+    the number of words under that name too.
+
+    What every element needs goes into the array beside it, and not into the lambda: a lambda works
+    it out again for each element."""
+    kept = [name, *([tokens] if tokens else [])]
+    taken = [*docs.columns, *kept]
     prior = F.array(*[F.lit(float(p)) for p in model.prior])
+    counter = tokens or unused(taken, "_size")
+    words = unused(taken, "_words")
+    split = docs.withColumn(words, word_counts(col(text))).withColumn(
+        counter, F.size(col(words)).cast("long")
+    )
     if model.bayes is None:
-        return docs.withColumn(name, prior)
-    words, features = unused(docs.columns, "_words"), unused(docs.columns, "_features")
-    held = [unused(docs.columns, c) for c in ("_raw", "_probability", "_prediction")]
+        return split.withColumn(name, prior).select(*map(col, [*docs.columns, *kept]))
+    features, raw, weights = (unused(taken, c) for c in ("_features", "_scores", "_weights"))
+    held = [unused(taken, c) for c in ("_raw", "_probability", "_prediction")]
     bayes = model.bayes.copy()
     bayes.setFeaturesCol(features).setPredictionCol(held[2])
     bayes.setRawPredictionCol(held[0]).setProbabilityCol(held[1])
-    counted = HashingTF(inputCol=words, outputCol=features, numFeatures=WORD_SLOTS).transform(
-        docs.withColumn(words, word_counts(col(text)))
+    counted = HashingTF(inputCol=words, outputCol=features, numFeatures=WORD_SLOTS).transform(split)
+    scored = bayes.transform(counted).withColumn(raw, vector_to_array(col(held[0])))
+    power = F.pow(F.greatest(col(counter), F.lit(1)), F.lit(SOFTNESS))
+    beside = F.struct(F.array_max(col(raw)).alias("top"), power.alias("by"))
+    count = len(model.domains)
+    weighed = scored.withColumn(weights, F.zip_with(
+        col(raw), F.array_repeat(beside, count),
+        lambda x, b: F.exp((x - b.getField("top")) / b.getField("by")),
+    ))
+    total = F.aggregate(col(weights), F.lit(0.0), lambda a, x: a + x)
+    shares = F.zip_with(col(weights), F.array_repeat(total, count), lambda x, t: x / t)
+    return weighed.withColumn(name, F.when(col(counter) > 0, shares).otherwise(prior)).select(
+        *map(col, [*docs.columns, *kept])
     )
-    raw = vector_to_array(col(held[0]))
-    size = F.size(col(words))
-    flat = F.transform(raw, lambda x: (x - F.array_max(raw)) / F.pow(F.greatest(size, F.lit(1)), F.lit(SOFTNESS)))
-    weights = F.transform(flat, F.exp)
-    total = F.aggregate(weights, F.lit(0.0), lambda a, x: a + x)
-    soft = F.when(size > 0, F.transform(weights, lambda x: x / total)).otherwise(prior)
-    return bayes.transform(counted).withColumn(name, soft).drop(words, features, *held)
 
 
 def own_targets(shares: dict[str, float], temperature: float = TEMPERATURE) -> dict[str, float]:
@@ -178,17 +194,24 @@ def mix(docs: DataFrame, domain: str, targets: dict[str, float] | None = None,
 
     `targets` are shares by domain; without them the domains' own token shares are flattened. The
     domains are those of the targets, so their number is the caller's."""
-    own = docs.groupBy(col(domain).alias("d")).agg(F.sum(token_count(col("text"))).alias("n"))
-    if targets is None:
-        shares = {r["d"]: float(r["n"] or 0) for r in own.where("d is not null").collect()}
-        targets = own_targets(shares)
-    targets = {d: t for d, t in targets.items() if t > 0}
     labelled = docs.select(col("text").alias("text"), col(domain).cast("string").alias("domain"))
-    model = fit(labelled, sorted(targets), per_domain)
+    if targets is None:
+        worded = labelled.where(F.col("domain").isNotNull() & F.col("text").rlike(r"\S"))
+        domains = [r["domain"] for r in worded.select("domain").distinct().collect()]
+    else:
+        targets = {d: t for d, t in targets.items() if t > 0}
+        domains = list(targets)
+    model = fit(labelled, sorted(domains), per_domain)
     names = {n: unused(docs.columns, n) for n in ("rate", "tokens", "member", "domains")}
-    scored = posteriors(docs, model, names["member"])
-    # written once: the fit then reads two columns of it, and no document is scored twice
-    rows = stage(scored.withColumn(names["tokens"], token_count(col("text"))), "memberships")
+    # written once: the fit then reads two columns of it, and no document is split or scored twice
+    rows = stage(
+        posteriors(docs, model, names["member"], tokens=names["tokens"]), "memberships"
+    )
+    if targets is None:
+        own = rows.groupBy(col(domain).cast("string").alias("d")).agg(
+            F.sum(col(names["tokens"])).alias("n")
+        )
+        targets = own_targets({r["d"]: float(r["n"]) for r in own.where("d is not null").collect()})
     narrow = rows.select(
         col(names["tokens"]).alias("tokens"), col(names["member"]).alias("member")
     )
