@@ -39,7 +39,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.support import col, range_bounds, range_of
-from ledgerloom.session import new_path, stage
+from ledgerloom.session import new_path
 
 BLOCK_TOKENS = 1 << 19
 MOST_CODERS = 4096
@@ -325,7 +325,11 @@ def write(docs: DataFrame, path: str, tokenizer: str, end: int, key: str = "doc_
     """Tokenize and write the files below `path`. Two passes: ids and their counts, then coding.
     The table has one row per id of the vocabulary; that is its bound on the driver."""
     spark = docs.sparkSession
-    blocks = stage(tokenized(docs, tokenizer, end, key), "token-blocks")
+    fresh = tokenized(docs, tokenizer, end, key)
+    staged = new_path(spark, "token-blocks")
+    # ids repeat in frequency rather than in runs, which this codec's entropy coding uses
+    fresh.write.option("compression", "zstd").parquet(staged)
+    blocks = spark.read.schema(fresh.schema).parquet(staged)
     counted = frequencies(blocks).collect()
     table = Table.scaled(
         np.array([r["symbol"] for r in counted], np.int64), np.array([r["n"] for r in counted])
