@@ -290,16 +290,17 @@ def links(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> Data
         if not last:
             pairs = pairs.union(_to_leader(rows.where(~small)))
         pairs = stage(_promising(pairs.distinct(), classes, percent), "pairs")
-        reps = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
-        if sets is not None:
-            reps = reps.join(sets.select("rep"), "rep", "left_anti")
+        paired = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
+        reps = paired if sets is None else paired.join(sets.select("rep"), "rep", "left_anti")
         wanted = stage(classes.select("rep", "key", "digest").join(reps, "rep"), "wanted")
         if not wanted.isEmpty():
             fetched = stage(full_sets(docs, wanted, words).dropDuplicates(["rep"]), "sets")
             sets = fetched if sets is None else sets.union(fetched)
         if sets is None:
             break
-        new = stage(_confirmed(pairs, sets, percent), "links")
+        # sets that this level has no pair for stay out of its shuffle
+        needed = sets.join(paired, "rep", "left_semi")
+        new = stage(_confirmed(pairs, needed, percent), "links")
         found = found.union(new)
         if last:
             break
