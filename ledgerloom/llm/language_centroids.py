@@ -100,15 +100,17 @@ def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
 def sample(training: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> DataFrame:
     """At most `per_language` different texts of each language, by the order of their hashes.
 
-    A hash threshold from the language's row count comes first, so that little more than the
-    sample is shuffled. One count per language reaches the driver, as the centroids do."""
-    sizes = {r["lang"]: r["count"] for r in training.groupBy("lang").count().collect()}
+    A hash threshold from the number of the language's different texts comes first, so that little
+    more than the sample is shuffled; copies share one hash, so they are no part of that number. One
+    count per language reaches the driver, as the centroids do."""
+    marked = training.select("lang", "text", F.xxhash64("text").alias("_hash"))
+    different = marked.select("lang", "_hash").distinct().groupBy("lang").count()
+    sizes = {r["lang"]: r["count"] for r in different.collect()}
     if not sizes:
         return training.select("lang", "text")
-    rows = F.element_at(F.create_map(*[F.lit(x) for pair in sizes.items() for x in pair]), F.col("lang"))
-    marked = training.select("lang", "text", F.xxhash64("text").alias("_hash"))
+    texts = F.element_at(F.create_map(*[F.lit(x) for pair in sizes.items() for x in pair]), F.col("lang"))
     share = F.col("_hash").bitwiseAND(F.lit((1 << 30) - 1)) / F.lit(float(1 << 30))
-    few = marked.where(share * rows < 2.0 * per_language + 50).dropDuplicates(["lang", "_hash"])
+    few = marked.where(share * texts < 2.0 * per_language + 50).dropDuplicates(["lang", "_hash"])
     order = W.partitionBy("lang").orderBy(share)
     return few.withColumn("_rank", F.row_number().over(order)).where(
         F.col("_rank") <= per_language

@@ -153,6 +153,17 @@ def test_language_cases(spark, odd):
             language_centroids.with_language(odd, nothing).collect()} == {"und"}
 
 
+def test_language_sample_of_copies(spark):
+    # 20,000 rows of 5 texts, and 20,000 rows of 100 texts beside 900 single ones
+    rows = [(f"der die das {'x' * i}", "de") for i in range(5)] * 4_000
+    rows += [(f"the and of {'y' * i}", "en") for i in range(100)] * 200
+    rows += [(f"that is {'z' * i}", "en") for i in range(900)]
+    training = spark.createDataFrame(rows, "text string, lang string")
+    drawn = language_centroids.sample(training, 40).toPandas()
+    assert not drawn.duplicated().any()
+    assert drawn["lang"].value_counts().to_dict() == {"de": 5, "en": 40}
+
+
 def test_automaton_against_edit_distance():
     def distance(a, b):
         row = list(range(len(b) + 1))
