@@ -37,7 +37,7 @@ from ledgerloom.llm.support import col, unused
 from ledgerloom.session import stage
 
 WORD_SLOTS = 1 << 14
-#: Bound of the labelled sample, per domain, by the order of a hash.
+#: Bound of the labelled sample: different texts per domain, by the order of a hash.
 SAMPLE_PER_DOMAIN = 400
 #: Posteriors are flattened by this power of the number of words, so that long texts stay soft.
 SOFTNESS = 0.75
@@ -66,26 +66,47 @@ def token_count(text: Column) -> Column:
 
 
 def fit(labelled: DataFrame, domains: list[str], per_domain: int = SAMPLE_PER_DOMAIN) -> DomainModel:
-    """Learn from rows with `text` and `domain`. A hash threshold from the domain's row count comes
-    first, so little more than the sample is shuffled."""
-    known = labelled.where(F.col("text").isNotNull() & F.col("domain").isin(domains))
-    sizes = {r["domain"]: r["count"] for r in known.groupBy("domain").count().collect()}
+    """Learn from rows with `text` and `domain`. At most `per_domain` different texts of each domain
+    are the sample, by the order of their hashes; the prior counts all rows.
+
+    The sample is chosen among the hashes, so only its own texts are shuffled. A hash threshold from
+    the number of the domain's different texts comes first, so that few hashes are ranked; copies
+    share one hash, so they are no part of that number."""
+    known = labelled.where(F.col("text").isNotNull() & F.col("domain").isin(domains)).withColumn(
+        "_hash", F.xxhash64("text", "domain")
+    )
+    distinct = stage(
+        known.groupBy("domain", "_hash").agg(F.count("*").alias("rows")), "domain-texts"
+    )
+    counts = distinct.groupBy("domain").agg(
+        F.sum("rows").alias("rows"), F.count("*").alias("texts")
+    ).collect()
+    sizes = {r["domain"]: r["rows"] for r in counts}
+    texts = {r["domain"]: r["texts"] for r in counts}
     found = sorted(sizes)
     if len(found) < 2:
         return DomainModel(None, found or sorted(domains)[:1], [1.0])
-    hash_ = F.xxhash64("text", "domain")
-    share = hash_.bitwiseAND(F.lit((1 << 30) - 1)) / F.lit(float(1 << 30))
+    share = F.col("_hash").bitwiseAND(F.lit((1 << 30) - 1)) / F.lit(float(1 << 30))
     limit = F.element_at(F.create_map(*[
-        F.lit(x) for d in found for x in (d, min(1.0, (2.0 * per_domain + 50) / sizes[d]))
+        F.lit(x) for d in found for x in (d, min(1.0, (2.0 * per_domain + 50) / texts[d]))
     ]), F.col("domain"))
-    few = known.withColumn("_share", share).where(F.col("_share") < limit)
-    order = W.partitionBy("domain").orderBy("_share", "text")
-    few = few.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= per_domain)
+    order = W.partitionBy("domain").orderBy(share, "_hash")
+    chosen = distinct.where(share < limit).withColumn("_rank", F.row_number().over(order)).where(
+        F.col("_rank") <= per_domain
+    ).select("domain", "_hash")
+    few = known.join(F.broadcast(chosen), ["domain", "_hash"], "left_semi").dropDuplicates(
+        ["domain", "_hash"]
+    )
     label = F.array_position(F.array(*[F.lit(d) for d in found]), F.col("domain")) - 1
     rows = stage(
         few.select(word_counts(F.col("text")).alias("words"), label.cast("double").alias("label")),
         "domain-sample",
     )
+    # the model has one class per label it saw: a missing one would shift or blank the posteriors
+    seen = {int(r["label"]) for r in rows.select("label").distinct().collect()}
+    missing = [d for i, d in enumerate(found) if i not in seen]
+    if missing:
+        raise RuntimeError(f"no training text was drawn for {missing}")
     counted = HashingTF(inputCol="words", outputCol="features", numFeatures=WORD_SLOTS).transform(rows)
     total = sum(sizes.values())
     return DomainModel(

@@ -159,6 +159,21 @@ def test_mixing_cases(spark):
     assert soft_mixing.resample(docs.limit(0), "source").count() == 0
 
 
+def test_mixing_learns_domains_of_copies(spark):
+    # 20,000 rows of 5 texts: a cut by the number of rows draws none of these texts
+    words = {"a": "apple pear plum", "b": "iron zinc lead", "c": "sea lake pond"}
+    few = [(f"{words['b']} {i}", "b") for i in range(5)]
+    many = [(f"{words[d]} {i}", d) for d in "ac" for i in range(1_000)]
+    labelled = spark.createDataFrame(few * 4_000 + many, "text string, domain string")
+    model = soft_mixing.fit(labelled, list("abc"), 20)
+    assert model.domains == list("abc") and model.bayes.numClasses == 3
+    assert model.prior == [1 / 22, 20 / 22, 1 / 22]
+    docs = spark.createDataFrame([(t,) for t in words.values()], "text string")
+    members = [r["p"] for r in soft_mixing.posteriors(docs, model, "p").collect()]
+    assert all(abs(sum(m) - 1) < 1e-9 for m in members)
+    assert [int(np.argmax(m)) for m in members] == [0, 1, 2]
+
+
 # --- URLs -------------------------------------------------------------------------------------
 
 URLS = [
