@@ -7,6 +7,11 @@ bits, so the number of passes is bounded, and about as many cells as splitters t
 driver. Equal texts are neighbours and stay in one shard, unless a group of them is so large that
 no boundary beside it is within the tolerance: such a group is cut by the hashes of its keys.
 
+Then whole documents move once, to the tasks of their shards, and each task writes its sorted rows.
+A shard is dealt to as many tasks as it has pieces of `PIECE_BYTES`, cut by the same counts; copies
+that agree in key and text, which no boundary can part, are dealt in turn. Sizes, checksums and
+slots are read from the written shards.
+
 Sizes: bytes of the text plus one. Only DataFrame functions are used.
 
 Defined cases: a null text has no bytes, size 1 and checksum 0, and counts as the empty text; rows
@@ -16,18 +21,22 @@ alone; with fewer rows than shards some shards are empty; an empty table gives a
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from ledgerloom.llm.support import col, unused
-from ledgerloom.operators.sequence import dense_key
-from ledgerloom.session import stage
+from ledgerloom.operators.sequence import task_of
+from ledgerloom.session import new_path, stage
 
 SHARDS = 16
 #: A boundary may miss its target by this share of a shard's bytes.
 TOLERANCE = 0.005
+#: Text that one task of the exchange is to receive, about.
+PIECE_BYTES = 32 << 20
 _BITS, _STEP = 56, 8
 _MASK = (1 << _BITS) - 1
 
@@ -134,23 +143,114 @@ def shard_of(bounds: list[tuple[int, int]], text: Column, row: Column) -> Column
     return shard
 
 
+@dataclass
+class Piece:
+    """A range of keys within a shard: its first key, the first task it is dealt to, and how many."""
+
+    first: tuple[int, int]
+    task: int = 0
+    tasks: int = 1
+
+
+def pieces(rows: DataFrame, bounds: list[tuple[int, int]], piece_bytes: int = PIECE_BYTES) -> list[list[Piece]]:
+    """The pieces of every shard, in order, from exact counts over `rows` (as `measured`). One row
+    per piece reaches the driver."""
+    total = rows.agg(F.sum("size")).first()[0] or 0
+    inner = splitters(rows, max(1, math.ceil(total / piece_bytes)), 0.5)
+    starts = [(0, 0), *bounds]
+    ends = [*bounds, (_MASK + 1, 0)]
+    made = [
+        [Piece(k) for k in sorted({low, *(k for k in inner if low < k < high)})]
+        for low, high in zip(starts, ends, strict=True)
+    ]
+    shard = shard_of(bounds, F.col("_text"), F.col("_row"))
+    key = F.struct("_text", "_row")
+    piece = _piece_of(made, shard, F.col("_text"), F.col("_row"))
+    counted = rows.groupBy(shard.alias("shard"), piece.alias("piece")).agg(
+        F.sum("size").alias("bytes"), F.min(key).alias("low"), F.max(key).alias("high")
+    ).collect()
+    for r in counted:
+        if r["low"] == r["high"]:  # copies of one document
+            made[r["shard"]][r["piece"]].tasks = max(1, math.ceil(r["bytes"] / piece_bytes))
+    task = 0
+    for p in (p for own in made for p in own):
+        p.task, task = task, task + p.tasks
+    return made
+
+
+def _piece_of(made: list[list[Piece]], shard: Column, text: Column, row: Column) -> Column:
+    """The position of a row's piece in its shard. The keys go into the array beside the edges, so
+    that they are not hashed again for each edge."""
+    edge = lambda t, r: F.struct(t.alias("text"), r.alias("row"))
+    own = F.element_at(F.array(*[
+        F.array(*[edge(F.lit(p.first[0]).cast("long"), F.lit(p.first[1]).cast("long")) for p in shard_])
+        for shard_ in made
+    ]), shard + 1)
+    beyond = F.zip_with(
+        own, F.array_repeat(edge(text, row), F.size(own)), lambda e, k: (e <= k).cast("int")
+    )
+    return F.aggregate(beyond, F.lit(0), lambda n, x: n + x) - 1
+
+
 def exchange(docs: DataFrame, bounds: list[tuple[int, int]], name: str = "shard",
-             key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Whole documents, moved once to the partition of their shard."""
+             key: str = "doc_id", text: str = "text", made: list[list[Piece]] | None = None) -> DataFrame:
+    """Whole documents, moved once to the tasks of their shard's pieces, in the order of the pieces
+    (one piece a shard if none are given), and sorted there by shard, text key and row key."""
     name = unused(docs.columns, name)
-    shard = shard_of(bounds, text_key(col(text)), row_key(col(key)))
-    return docs.withColumn(name, shard).repartition(len(bounds) + 1, col(name))
+    made = made or [[Piece(k, i)] for i, k in enumerate([(0, 0), *bounds])]
+    taken = [*docs.columns, name]
+    texts, rows, piece, task = (unused(taken, c) for c in ("_text", "_row", "_piece", "_task"))
+    keyed = docs.withColumn(texts, text_key(col(text))).withColumn(rows, row_key(col(key)))
+    placed = keyed.withColumn(name, shard_of(bounds, col(texts), col(rows)).cast("int"))
+    placed = placed.withColumn(piece, _piece_of(made, col(name), col(texts), col(rows)))
+    of_piece = lambda field: F.element_at(F.element_at(F.array(*[
+        F.array(*[F.lit(getattr(p, field)) for p in own]) for own in made
+    ]), col(name) + 1), col(piece) + 1)
+    turn = F.lit(0)
+    if any(p.tasks > 1 for own in made for p in own):
+        turn = F.monotonically_increasing_id() % of_piece("tasks")
+    dealt = placed.withColumn(task, (of_piece("task") + turn).cast("int"))
+    moved = dealt.repartitionById(made[-1][-1].task + made[-1][-1].tasks, col(task))
+    return moved.sortWithinPartitions(col(name), col(texts), col(rows)).select(*map(col, taken))
 
 
-def assignment(docs: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANCE) -> DataFrame:
-    """doc_id, size, text_crc32, shard and slot of every document. Slots count from 0 in each
-    shard, in the sort order; the rows of a shard are numbered by many tasks."""
-    rows = stage(measured(docs), "shard-rows")
+def sharded(docs: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANCE,
+            piece_bytes: int = PIECE_BYTES) -> tuple[DataFrame, str, str]:
+    """Whole documents as written, one folder a shard, with the names of two columns: the shard and
+    the position, which grows in the sort order."""
+    spark = docs.sparkSession
+    rows = stage(measured(docs).select("size", "_text", "_row"), "shard-rows")
     bounds = splitters(rows, shards, tolerance)
-    placed = rows.withColumn("shard", shard_of(bounds, F.col("_text"), F.col("_row")).cast("int"))
-    numbered = dense_key(placed, "_place", ["_text", "_row"])
-    first = numbered.groupBy("shard").agg(F.min("_place").alias("_first"))
-    return numbered.join(F.broadcast(first), "shard").select(
+    name = unused(docs.columns, "shard")
+    position = unused([*docs.columns, name], "_position")
+    moved = exchange(docs, bounds, name, made=pieces(rows, bounds, piece_bytes)).withColumn(
+        position, F.monotonically_increasing_id()
+    )
+    path = new_path(spark, "shards")
+    moved.write.option("compression", "zstd").partitionBy(name).parquet(path)
+    return spark.read.schema(moved.schema).parquet(path), name, position
+
+
+def assignment(docs: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANCE,
+               piece_bytes: int = PIECE_BYTES) -> DataFrame:
+    """doc_id, size, text_crc32, shard and slot of every document, from the written shards. Slots
+    count from 0 in each shard, in the sort order; the tasks of a shard number their own rows."""
+    written, shard, position = sharded(docs, shards, tolerance, piece_bytes)
+    at = written.select(col(shard).alias("shard"), col(position).alias("_position"))
+    parts = at.groupBy("shard", task_of("_position").alias("_task")).agg(
+        F.count("*").alias("_rows"), F.min("_position").alias("_low")
+    )
+    before = W.partitionBy("shard").orderBy("_task").rowsBetween(W.unboundedPreceding, -1)
+    offsets = parts.select(
+        "shard", "_task", (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_low")).alias("_shift")
+    )
+    whole = F.coalesce(col("text"), F.lit(""))
+    narrow = written.select(
+        "doc_id", (F.octet_length(whole) + 1).cast("long").alias("size"),
+        F.crc32(whole).alias("text_crc32"), col(shard).alias("shard"),
+        col(position).alias("_position"), task_of(position).alias("_task"),
+    )
+    return narrow.join(F.broadcast(offsets), ["shard", "_task"]).select(
         "doc_id", "size", "text_crc32", "shard",
-        (F.col("_place") - F.col("_first")).cast("long").alias("slot"),
+        (F.col("_position") + F.col("_shift")).cast("long").alias("slot"),
     )

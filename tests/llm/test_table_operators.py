@@ -4,6 +4,7 @@ import math
 import random
 import re
 from collections import defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -19,6 +20,7 @@ from ledgerloom.llm import (
     url_trees,
 )
 from ledgerloom.llm.support import range_bounds, range_of, table
+from ledgerloom.session import shared_dir
 
 SF = "/root/testdata/sf0.001"
 
@@ -118,6 +120,35 @@ def test_exchange_moves_whole_documents(spark):
     assert moved.columns == ["doc_id", "text", "shard", "shard_"] and moved.count() == 200
 
 
+def test_shards_are_written_whole_and_in_order(spark):
+    random.seed(5)
+    rows = [(i, "y" * random.randint(0, 300), i % 7) for i in range(2_000)]
+    rows += [(5_000 + i, "one text " * 20, 1) for i in range(700)]
+    rows += [(9_000, "one document " * 20, 2)] * 700  # no boundary can part these
+    docs = spark.createDataFrame([*rows, (None, None, 3)], "doc_id long, text string, shard int")
+    root = Path(shared_dir(spark)) / "staged" / spark.sparkContext.applicationId
+    known = set(root.glob("shards-*"))
+    got = histogram_sort.assignment(docs, 4, piece_bytes=20_000).toPandas()
+    folder, = set(root.glob("shards-*")) - known
+    written = spark.read.parquet(str(folder))
+    assert sorted(map(tuple, written.select(*docs.columns).collect()), key=repr) == sorted(
+        [*rows, (None, None, 3)], key=repr)
+    # each shard is written by several tasks, and so is the document that fills the most of one
+    files = [sorted(p.glob("*.parquet")) for p in sorted(folder.glob("shard_=*"))]
+    assert len(files) == 4 and min(map(len, files)) > 2
+    name = F.input_file_name()
+    assert written.where("doc_id = 9000").select(name).distinct().count() > 2
+    # slots follow the keys, whatever task wrote the row
+    keys = histogram_sort.measured(docs).distinct().select("doc_id", "text_crc32", "_text", "_row").toPandas()
+    merged = got.merge(keys, on=["doc_id", "text_crc32"])
+    assert len(merged) == len(rows) + 1
+    for shard, own in merged.sort_values(["shard", "slot"]).groupby("shard"):
+        assert list(own["slot"]) == list(range(len(own)))
+        order = list(zip(own["_text"], own["_row"], strict=True))
+        assert order == sorted(order)
+        assert len(own) == written.where(F.col("shard_") == int(shard)).count()
+
+
 def test_ranges(spark):
     df = spark.createDataFrame([(i % 50,) for i in range(500)] + [(None,)], "k long")
     for descending in (False, True):
