@@ -296,15 +296,15 @@ def links(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> Data
         if not wanted.isEmpty():
             fetched = stage(full_sets(docs, wanted, words).dropDuplicates(["rep"]), "sets")
             sets = fetched if sets is None else sets.union(fetched)
-        if sets is None:
-            break
-        # sets that this level has no pair for stay out of its shuffle
-        needed = sets.join(paired, "rep", "left_semi")
-        new = stage(_confirmed(pairs, needed, percent), "links")
-        found = found.union(new)
+        if sets is not None:
+            # sets that this level has no pair for stay out of its shuffle
+            needed = sets.join(paired, "rep", "left_semi")
+            new = stage(_confirmed(pairs, needed, percent), "links")
+            found = found.union(new)
         if last:
             break
-        if not new.isEmpty():
+        # without a pair so far, the large nodes are still open and branch
+        if sets is not None and not new.isEmpty():
             label = components(found)
         large = rows.where(~small).select("rep", "tree", "node")
         if label is not None:

@@ -82,6 +82,23 @@ def test_duplicates_cases(spark):
     assert chosen_path.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_large_nodes_stay_open_without_a_pair(spark, monkeypatch):
+    # level 0 has only large nodes and brings no pair: the next levels find the links
+    real, levels = chosen_path._promising, []
+
+    def promising(pairs, classes, percent):
+        levels.append(1)
+        return real(pairs, classes, percent).where(F.lit(len(levels) > 1))
+
+    monkeypatch.setattr(chosen_path, "_promising", promising)
+    monkeypatch.setattr(chosen_path, "OPEN_PAIRS", 0)
+    monkeypatch.setattr(chosen_path, "REST_PAIRS", 0)
+    words = [f"w{i}" for i in range(80)]
+    rows = [(i, " ".join([*words, f"end{i}"])) for i in range(4)]
+    got = chosen_path.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 4)
+    assert {r["component_id"] for r in got.collect()} == {0} and len(levels) > 1
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i + 1, i) for i in range(60)] + [(100, 101)], "a long, b long")
     got = {r["id"]: r["component"] for r in chosen_path.components(links).collect()}
