@@ -318,7 +318,12 @@ def links(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> Data
 
 def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS,
                     percent: int = THRESHOLD_PERCENT) -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id (the least key reachable), kept."""
+    """Per row: doc_id, n_shingles, component_id (the least key reachable), kept.
+
+    The trees and the sketch share are made for `THRESHOLD_PERCENT`; below it they would miss
+    links, so lower values are refused."""
+    if not THRESHOLD_PERCENT <= percent <= 100:
+        raise ValueError(f"percent must be from {THRESHOLD_PERCENT} to 100, not {percent}")
     texts = docs.select(col("doc_id").cast("long").alias("doc_id"), col("text").alias("text"))
     rows = stage(sketches(texts, words), "sketches")
     known = rows.where("doc_id is not null and digest is not null")

@@ -99,6 +99,13 @@ def test_large_nodes_stay_open_without_a_pair(spark, monkeypatch):
     assert {r["component_id"] for r in got.collect()} == {0} and len(levels) > 1
 
 
+@pytest.mark.parametrize("percent", [30, 79, 101])
+def test_duplicates_refuse_thresholds_they_would_miss(spark, percent):
+    docs = spark.createDataFrame([(1, "a b c d")], "doc_id long, text string")
+    with pytest.raises(ValueError, match="percent"):
+        chosen_path.near_duplicates(docs, 4, percent)
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i + 1, i) for i in range(60)] + [(100, 101)], "a long, b long")
     got = {r["id"]: r["component"] for r in chosen_path.components(links).collect()}
