@@ -6,7 +6,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import grouping, joins, keyed, matching, profile, quantile, sequence
+from ledgerloom.operators import grouping, heavy, joins, keyed, matching, profile, quantile, sequence
 
 DAY = dt.date(2024, 1, 1)
 
@@ -175,3 +175,14 @@ def test_profile_and_summary(spark):
     row = profile.numeric_summary(df, ["n"]).first().asDict()
     assert row == {"column_name": "n", "count": 3, "mean": 2.33, "std": 1.53, "min": 1.0,
                    "p25": 1.5, "p50": 2.0, "p75": 3.0, "max": 4.0}
+
+
+def test_heavy_join_equals_a_plain_join_and_keeps_hot_rows_in_place(spark):
+    people = [(i, None if i % 7 == 0 else 1 if i % 2 else i % 300) for i in range(4000)]
+    df = spark.createDataFrame(people, "id int, boss int").repartition(4)
+    names = spark.createDataFrame([(i, f"n{i}") for i in range(250)], "key int, name string")
+    got = heavy.heavy_join(df, names, "boss", "key")
+    wanted = df.join(names, df["boss"] == names["key"], "left").select("id", "boss", "name")
+    assert rows(got, "id", "boss", "name") == rows(wanted)
+    assert heavy.heavy_keys(df, "boss") == [1]
+    assert heavy.heavy_join(df.limit(0), names, "boss", "key").count() == 0
