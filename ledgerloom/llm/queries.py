@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import (
+    block_codebooks,
     byte_bpe,
     chosen_path,
     histogram_sort,
@@ -20,11 +21,11 @@ from ledgerloom.llm import (
     toxic_automaton,
     url_trees,
 )
+from ledgerloom.llm.oracles import ORACLES  # noqa: F401
 from ledgerloom.llm.support import fold, ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
 END_OF_TEXT = 2
 
 
@@ -130,3 +131,9 @@ def op9_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_projected_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return projection_search.nearest(vectors, F.col("id") % 50 == 0, projection_search.K)
+
+
+@query
+def op12_block_codebooks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes, errors and the codebooks' digest of every usable row of `embeddings`."""
+    return block_codebooks.compress(table(spark, sf_dir, "embeddings")).drop("label")
