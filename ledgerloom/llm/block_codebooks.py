@@ -8,8 +8,8 @@ greatest of each component) and the sum of their parts. Chunks need no exchange:
 them of the rows it reads, and they are staged.
 
 A round compares boxes first. An entry stays on a block's shortlist if its least distance to the box
-is no more than the smallest of all greatest distances, so every nearest entry of a part of the block
-is on it, ties included. A block with one entry left is counted by its stored sum alone; the parts of
+is no more than the smallest of all greatest distances, and if the entry with that distance is not
+nearer in the whole box; so every nearest entry of a part of the block is on it, ties included. A block with one entry left is counted by its stored sum alone; the parts of
 the others are compared with the shortlist by an integer kernel. Only sums per (part, entry) leave a
 task: at most 64 entries of 16 parts, whatever the size of the table.
 
@@ -136,7 +136,11 @@ class Chunk:
 
 
 def shortlists(low: np.ndarray, high: np.ndarray, entries: np.ndarray) -> np.ndarray:
-    """For each block and entry, whether the entry can be the nearest one of a part in the block."""
+    """For each block and entry, whether the entry can be the nearest one of a part in the block.
+
+    The entry with the smallest greatest distance is the block's rival. An entry goes if its least
+    distance to the box is beyond the rival's greatest one, or if the rival is nearer everywhere in
+    the box: the difference of their squared distances is linear, so a corner decides."""
     least = np.zeros((len(low), len(entries)), np.int64)
     most = np.zeros_like(least)
     for d in range(entries.shape[1]):
@@ -144,7 +148,13 @@ def shortlists(low: np.ndarray, high: np.ndarray, entries: np.ndarray) -> np.nda
         above = entries[None, :, d] - high[:, d, None]
         least += np.maximum(np.maximum(below, above), 0) ** 2
         most += np.maximum(np.abs(below), np.abs(above)) ** 2
-    return least <= most.min(axis=1, keepdims=True)
+    rival = entries[most.argmin(axis=1)]
+    behind = np.zeros_like(least)
+    for d in range(entries.shape[1]):
+        slope = 2 * (rival[:, d, None] - entries[None, :, d])
+        behind += entries[None, :, d] ** 2 - rival[:, d, None] ** 2
+        behind += np.minimum(slope * low[:, d, None], slope * high[:, d, None])
+    return (least <= most.min(axis=1, keepdims=True)) & (behind <= 0)
 
 
 def kernel(points: np.ndarray, kept: np.ndarray, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
