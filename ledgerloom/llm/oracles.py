@@ -49,3 +49,48 @@ WITH kept AS MATERIALIZED (
 SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
     d AS codebooks_sha256
 FROM kept JOIN coded USING (rid), digest"""
+
+ORACLES["op13_conversation_trie"] = """
+WITH own AS MATERIALIZED (
+        SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+            row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS pos
+        FROM conversations WHERE conv_id IS NOT NULL),
+    convs AS MATERIALIZED (
+        SELECT conv_id, conv_id - conv_id % 5 AS source, xor(4294967295, list_reduce(
+            list_concat([4294967295], list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+                lambda x: CAST(ascii(x) AS BIGINT))),
+            lambda c, b: list_reduce(list_concat([xor(c, b)], range(8)), lambda x, i:
+                xor(x // 2, CASE WHEN x % 2 = 1 THEN 3988292384 ELSE 0 END)))) % 9 AS h
+        FROM (SELECT DISTINCT conv_id FROM own)),
+    rebuilt AS (
+        SELECT c.conv_id, 0 AS part, t.pos, t.role, t.text
+        FROM convs c JOIN own t ON t.conv_id = c.source AND t.pos <= c.h
+        UNION ALL
+        SELECT c.conv_id, 1, t.pos, t.role, t.text
+        FROM convs c JOIN own t ON t.conv_id = c.conv_id AND t.pos > c.h),
+    whole AS MATERIALIZED (
+        SELECT c.conv_id, coalesce(list(md5(length(role) || ':' || role || text) ORDER BY part, pos)
+                FILTER (text IS NOT NULL), []) AS keys,
+            coalesce(list(strlen(text) ORDER BY part, pos) FILTER (text IS NOT NULL), []) AS sizes
+        FROM convs c LEFT JOIN rebuilt r USING (conv_id) GROUP BY c.conv_id),
+    members AS MATERIALIZED (
+        SELECT conv_id, d, keys[1:d] AS path, keys[1:d - 1] AS above, coalesce(sizes[d], 0) AS size,
+            d = len(keys) AS ends
+        FROM (SELECT *, unnest(range(len(keys) + 1)) AS d FROM whole)),
+    nodes AS MATERIALIZED (
+        SELECT path, d, any_value(above) AS above, min(conv_id) AS conv_id, count(*) AS n,
+            (count(*) - 1) * any_value(size) AS saved,
+            sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)
+                FILTER (ends), '')) AS ends_sha256
+        FROM members GROUP BY path, d),
+    children AS (SELECT above AS path, d - 1 AS d, count(*) AS k FROM nodes WHERE d > 0 GROUP BY 1, 2),
+    full_nodes AS MATERIALIZED (
+        SELECT n.*, coalesce(k, 0) AS k FROM nodes n LEFT JOIN children USING (path, d)),
+    subtrees AS (
+        SELECT path[1:e] AS path, e AS d, sum(CASE WHEN k = 0 THEN 1 ELSE 0 END) AS leaves,
+            sum(saved) AS saved
+        FROM (SELECT *, unnest(range(d + 1)) AS e FROM full_nodes) GROUP BY 1, 2)
+SELECT n.conv_id, n.d AS depth, p.conv_id AS parent_conv_id, n.n AS n_convs, n.k AS n_children,
+    CAST(s.leaves AS BIGINT) AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM full_nodes n JOIN subtrees s ON s.path = n.path AND s.d = n.d
+LEFT JOIN nodes p ON n.d > 0 AND p.path = n.above AND p.d = n.d - 1"""

@@ -12,6 +12,7 @@ from ledgerloom.llm import (
     block_codebooks,
     byte_bpe,
     chosen_path,
+    conversation_trie,
     histogram_sort,
     language_centroids,
     multiset_hash,
@@ -137,3 +138,9 @@ def op10_projected_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_block_codebooks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Codes, errors and the codebooks' digest of every usable row of `embeddings`."""
     return block_codebooks.compress(table(spark, sf_dir, "embeddings")).drop("label")
+
+
+@query
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of the rebuilt `conversations`."""
+    return conversation_trie.trie(table(spark, sf_dir, "conversations"))
