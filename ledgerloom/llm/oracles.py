@@ -4,6 +4,35 @@ from __future__ import annotations
 
 ORACLES: dict[str, str] = {}
 
+ORACLES["op11_run_length_index"] = """
+WITH docs AS MATERIALIZED (
+        SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents),
+    pieces AS MATERIALIZED (
+        SELECT doc_id, c, substr(h, 2000 * c + 1, 2198) AS h, least(1000, n - 99 - 1000 * c) AS windows
+        FROM (SELECT *, unnest(range((greatest(n - 99, 0) + 999) // 1000)) AS c FROM docs)),
+    again AS MATERIALIZED (
+        SELECT doc_id, i FROM (
+            SELECT doc_id, i, row_number() OVER (PARTITION BY m ORDER BY doc_id, i) AS k FROM (
+                SELECT doc_id, 1000 * c + j AS i, md5(substr(h, 2 * j + 1, 200)) AS m
+                FROM (SELECT *, unnest(range(windows)) AS j FROM pieces))) WHERE k > 1),
+    spans AS MATERIALIZED (
+        SELECT doc_id, min(i) AS a, max(i) + 100 AS b FROM (
+            SELECT doc_id, i, sum(gap) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM (
+                SELECT doc_id, i, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= 100
+                    THEN 0 ELSE 1 END AS gap FROM again)) GROUP BY doc_id, span),
+    gaps AS (
+        SELECT doc_id, a AS upto, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS since FROM spans
+        UNION ALL
+        SELECT doc_id, n, coalesce(b, 0) FROM docs LEFT JOIN
+            (SELECT doc_id, max(b) AS b FROM spans GROUP BY doc_id) USING (doc_id)),
+    kept AS (
+        SELECT doc_id, string_agg(substr(h, 2 * since + 1, 2 * (upto - since)), '' ORDER BY since, upto) AS h
+        FROM gaps JOIN docs USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, n AS n_bytes, n - strlen(k.h) // 2 AS n_removed, coalesce(s.n_spans, 0) AS n_spans,
+    sha256(unhex(k.h)) AS kept_sha256
+FROM docs JOIN kept k USING (doc_id)
+LEFT JOIN (SELECT doc_id, count(*) AS n_spans FROM spans GROUP BY doc_id) s USING (doc_id)"""
+
 
 def _assign(name: str, books: str) -> str:
     """Each part's nearest entry of a codebook, ties to the lower index."""

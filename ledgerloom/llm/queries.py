@@ -15,6 +15,7 @@ from ledgerloom.llm import (
     conversation_trie,
     histogram_sort,
     language_centroids,
+    long_matches,
     multiset_hash,
     projection_search,
     rans_store,
@@ -134,6 +135,12 @@ def op10_projected_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return projection_search.nearest(vectors, F.col("id") % 50 == 0, projection_search.K)
 
 
+@query
+def op11_run_length_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document of `documents` without its 100-byte passages that also start earlier."""
+    return long_matches.digests(table(spark, sf_dir, "documents"))
+
+
 @query
 def op12_block_codebooks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Codes, errors and the codebooks' digest of every usable row of `embeddings`."""
