@@ -11,7 +11,6 @@ from ledgerloom import rules, schemas
 from ledgerloom.functions import dates
 from ledgerloom.operators.joins import as_of_join
 from ledgerloom.operators.sequence import dense_key
-from ledgerloom.session import stage
 
 MANAGER_ROLE = "Project Manager"
 APPROVER_ROLE = "Approver"
@@ -124,10 +123,11 @@ def fact_rows(
 def fact_transactions(
     transactions: DataFrame, project_dim: DataFrame, vendor_dim: DataFrame, employee_dim: DataFrame
 ) -> DataFrame:
-    """Facts with their own dense key. Numbering samples its input before it sorts it, so the
-    joined rows are staged instead of being joined twice."""
-    rows = stage(fact_rows(transactions, project_dim, vendor_dim, employee_dim), "fact-rows")
-    return dense_key(rows, "transaction_key", ["transaction_id"])
+    """Facts with their own dense key, in the order of their ids and then of all their columns, as
+    an id may repeat. The split points come from the ids alone: the facts are joined, moved and
+    written once."""
+    rows = fact_rows(transactions, project_dim, vendor_dim, employee_dim)
+    return dense_key(rows, "transaction_key", rows.columns, transactions.select("transaction_id"))
 
 
 def row_counts(

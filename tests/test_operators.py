@@ -6,7 +6,17 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import grouping, heavy, joins, keyed, matching, profile, quantile, sequence
+from ledgerloom.operators import (
+    grouping,
+    heavy,
+    joins,
+    keyed,
+    matching,
+    profile,
+    quantile,
+    ranges,
+    sequence,
+)
 
 DAY = dt.date(2024, 1, 1)
 
@@ -186,3 +196,33 @@ def test_heavy_join_equals_a_plain_join_and_keeps_hot_rows_in_place(spark):
     assert rows(got, "id", "boss", "name") == rows(wanted)
     assert heavy.heavy_keys(df, "boss") == [1]
     assert heavy.heavy_join(df.limit(0), names, "boss", "key").count() == 0
+
+
+def test_dense_key_refuses_an_order_that_is_not_total(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c")], "k int, v string")
+    with pytest.raises(ValueError, match="repeat their key"):
+        sequence.dense_key(df, "n", ["k"])
+    numbered = sequence.dense_key(df.union(df.limit(1)), "n", ["k", "v"])  # equal rows share no order
+    assert rows(numbered) == [(1, 1, "a"), (2, 1, "a"), (3, 2, "b"), (4, 2, "c")]
+
+
+def test_dense_key_moves_and_writes_rows_once(spark):
+    df = spark.range(2000).selectExpr("id * 37 % 2000 AS k", "repeat('x', 50) AS wide")
+    ranged = ranges.with_range(df, ["k"], "_range")
+    plan = ranged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(_range") == 1 and "rangepartitioning" not in plan
+    got = sequence.dense_key(df, "n", ["k"], drawn_from=df.select("k"))
+    assert all(r["n"] == r["k"] + 1 for r in got.collect()) and got.count() == 2000
+
+
+@pytest.mark.parametrize("keys", [
+    [(None, "b"), (1, None), (1, "a"), (1, "é"), (2, "a"), (2, "a")] * 9,
+    [(5, "same")] * 40, [(i % 17, f"{i}") for i in range(300)],
+])
+def test_ranges_are_whole_and_ascend(spark, keys):
+    df = spark.createDataFrame(keys, "k int, s string")
+    points = ranges.split_points(df, 12)
+    assert len(points) <= 11
+    placed = df.select("k", "s", ranges.range_number(df, points).alias("r")).orderBy("k", "s").collect()
+    assert [r["r"] for r in placed] == sorted(r["r"] for r in placed)
+    assert len({(r["k"], r["s"]) for r in placed}) == len({(r["k"], r["s"], r["r"]) for r in placed})
