@@ -1,4 +1,4 @@
-"""Carry the latest earlier value forward within a key, also within a hot key."""
+"""Carry the latest earlier value forward within a key, over as many tasks as its rows need."""
 
 from __future__ import annotations
 
@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-_SPREAD = 4096  # buckets for rows that can match nothing
+from ledgerloom.operators.heavy import heavy_join
+from ledgerloom.operators.ranges import with_range
+from ledgerloom.session import stage
 
 
 def carry_last(
@@ -18,62 +20,55 @@ def carry_last(
     time: str,
     value: str,
     tie: Sequence[Column],
-    bucket: Column,
     lookup: DataFrame | None = None,
 ) -> DataFrame:
     """Add `_carried`: the last non-null `value` at or before each row, in (time, tie) order.
 
-    A window per key would put a whole hot key into one task. Here a window works inside one
-    (key, time bucket); what enters a bucket from before is looked up in a summary with one
-    row per key and bucket, which partial aggregation builds. `lookup` adds columns per key
-    (unique `key`) on the way through that summary, also to rows without time. Rows without key
-    or time carry nothing and are spread over buckets of their own.
+    The rows are cut into ranges of (key, time, tie), so that a hot key, and even one instant of
+    it, lies in several tasks. Each row moves once. A window works inside a range; what a key has
+    when a range begins comes from the ends of the ranges before it, one row per range. `lookup`
+    adds columns per key (unique `key`), also to rows without time. Rows without key or time carry
+    nothing and are spread over ranges by their hash.
     """
     usable = F.col(key).isNotNull() & F.col(time).isNotNull()
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns if c != value and not _is_map(df, c)]),
-                    F.lit(_SPREAD))
-    rows = df.withColumn(
-        "_bucket", F.when(usable, bucket.cast("string")).otherwise(spread.cast("string"))
-    ).withColumn("_usable", usable)
-
-    order = F.struct(F.col(time), *tie)
-    has_value = F.col("_usable") & F.col(value).isNotNull()
-    tails = (
-        rows.filter(F.col(key).isNotNull())
-        .groupBy(key, "_bucket")
-        .agg(F.max_by(F.col(value), F.when(has_value, order)).alias("_tail"))
+    spread = F.xxhash64(*[F.col(c) for c in df.columns if not has_map(df, c)])
+    order = ["_c_key", "_c_time", *[f"_c_tie{i}" for i in range(len(tie))], "_c_spread"]
+    rows = df.withColumns({
+        "_c_key": F.when(usable, F.col(key)),
+        "_c_time": F.when(usable, F.col(time)),
+        **{f"_c_tie{i}": F.when(usable, t) for i, t in enumerate(tie)},
+        "_c_spread": F.when(~usable, spread),
+    })
+    so_far = (
+        W.partitionBy("_range", "_c_key").orderBy(*order[1:])
+        .rowsBetween(W.unboundedPreceding, W.currentRow)
     )
-    earlier = W.partitionBy(key).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    entering = tails.select(
-        F.col(key).alias("_entry_key"),
-        F.col("_bucket").alias("_entry_bucket"),
-        F.last("_tail", ignorenulls=True).over(earlier).alias("_entering"),
+    local = with_range(rows, order, "_range").withColumn(
+        "_inside", F.when(F.col("_c_key").isNotNull(), F.last(F.col(value), ignorenulls=True).over(so_far))
     )
-    extra: list[str] = []
-    if lookup is not None:
-        extra = [c for c in lookup.columns if c != key]
-        entering = entering.join(
-            lookup.withColumnRenamed(key, "_lookup_key"),
-            F.col("_entry_key") == F.col("_lookup_key"),
-            "left",
-        ).drop("_lookup_key")
+    rows = stage(local, "carried")
 
-    so_far = (
-        W.partitionBy(key, "_bucket")
-        .orderBy(F.col(time), *tie)
-        .rowsBetween(W.unboundedPreceding, W.currentRow)
+    last_row = F.when(F.col("_c_key").isNotNull(), F.struct(*order))
+    ends = rows.where("_c_key is not null").groupBy("_range").agg(
+        F.min("_c_key").alias("_first"), F.max("_c_key").alias("_last"),
+        F.max_by("_inside", last_row).alias("_tail"),
     )
-    local = rows.withColumn(
-        "_inside", F.last(F.when(has_value, F.col(value)), ignorenulls=True).over(so_far)
+    upto = W.partitionBy("_last").orderBy("_range").rowsBetween(W.unboundedPreceding, W.currentRow)
+    before = W.orderBy("_range")
+    entering = ends.withColumn("_tail", F.last("_tail", ignorenulls=True).over(upto)).select(
+        "_range", F.col("_first").alias("_entry_key"),
+        F.when(F.lag("_last").over(before) == F.col("_first"), F.lag("_tail").over(before)).alias("_entering"),
     )
-    joined = local.join(
-        entering,
-        (F.col(key) == F.col("_entry_key")) & (F.col("_bucket") == F.col("_entry_bucket")),
-        "left",
+    entered = F.when(F.col("_c_key") == F.col("_entry_key"), F.col("_entering"))
+    carried = rows.join(F.broadcast(entering), "_range", "left").withColumn(
+        "_carried", F.coalesce("_inside", entered)
     )
-    carried = F.when(F.col("_usable"), F.coalesce("_inside", "_entering"))
-    return joined.withColumn("_carried", carried).select(*df.columns, "_carried", *extra)
+    if lookup is None:
+        return carried.select(*df.columns, "_carried")
+    found = heavy_join(carried, lookup.withColumnRenamed(key, "_lookup_key"), key, "_lookup_key")
+    return found.select(*df.columns, "_carried", *[c for c in lookup.columns if c != key])
 
 
-def _is_map(df: DataFrame, column: str) -> bool:
+def has_map(df: DataFrame, column: str) -> bool:
+    """Maps have no order and no hash."""
     return "map<" in df.schema[column].dataType.simpleString()

@@ -18,7 +18,6 @@ def match_following(
     row_id: str,
     open_fields: list[str],
     close_fields: list[str],
-    bucket: str = "day",
 ) -> DataFrame:
     """Every opening row with the earliest closing row of its key at or after it and before the
     next opening row; rows that stay open keep nulls.
@@ -38,7 +37,6 @@ def match_following(
         time=time,
         value="_opener",
         tie=[(~F.col("_opens")).cast("int"), F.col(row_id)],
-        bucket=F.date_trunc(bucket, F.col(time)),
     )
     owner = F.when(F.col("_opens"), F.col(row_id)).otherwise(F.col("_carried"))
     closing = F.struct(F.col(time).alias("closed_at"), F.col(row_id), *close_fields)

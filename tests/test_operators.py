@@ -7,6 +7,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import (
+    carry,
     grouping,
     heavy,
     joins,
@@ -226,3 +227,37 @@ def test_ranges_are_whole_and_ascend(spark, keys):
     placed = df.select("k", "s", ranges.range_number(df, points).alias("r")).orderBy("k", "s").collect()
     assert [r["r"] for r in placed] == sorted(r["r"] for r in placed)
     assert len({(r["k"], r["s"]) for r in placed}) == len({(r["k"], r["s"], r["r"]) for r in placed})
+
+
+def test_carry_splits_one_key_in_one_hour_over_tasks(spark):
+    random.seed(8)
+    events = [
+        (i, "hot" if i % 3 else random.choice(["a", "b", None]), None if i % 50 == 7 else random.randrange(3600),
+         i if random.random() < 0.02 else None)
+        for i in range(6000)
+    ]
+    df = spark.createDataFrame(events, "id int, k string, t int, v int").repartition(5)
+    lookup = spark.createDataFrame([("hot", 1), ("b", 2)], "k string, extra int")
+    got = carry.carry_last(df, key="k", time="t", value="v", tie=[F.col("id")], lookup=lookup)
+    wanted, last = [], {}
+    for i, k, t, v in sorted(events, key=lambda e: (e[2] is None, e[2], e[0])):
+        if k is not None and t is not None:
+            last[k] = v if v is not None else last.get(k)
+            wanted.append((i, last[k], {"hot": 1, "b": 2}.get(k)))
+        else:
+            wanted.append((i, None, {"hot": 1, "b": 2}.get(k)))
+    assert rows(got, "id", "_carried", "extra") == sorted(wanted, key=repr)
+    order = df.where("k is not null and t is not null").withColumn("tie", F.col("id"))
+    sizes = [r["count"] for r in ranges.with_range(order, ["k", "t", "tie"], "r").groupBy("r").count().collect()]
+    assert len(sizes) > 8 and max(sizes) < 4 * sorted(sizes)[len(sizes) // 2]
+
+
+def test_facts_of_one_key_and_day_are_split(spark):
+    facts = spark.range(4000).select(
+        "id", F.lit("hot").alias("k"), F.lit(DAY).alias("day"))
+    versions = spark.createDataFrame(
+        [("hot", DAY, dt.date(2024, 2, 1), True, 7), ("cold", DAY, dt.date(2024, 2, 1), True, 8)],
+        "k string, valid_from date, valid_to date, is_current boolean, value int")
+    arguments = dict(key="k", day="day", version_key="k", value="value", name="found")
+    merged = joins.as_of_join(facts, versions, **arguments, broadcast_rows=0)
+    assert {r["found"] for r in merged.collect()} == {7} and merged.count() == 4000
