@@ -4,10 +4,12 @@ A document need not belong to one domain. A classifier learned from a labelled t
 and their domains) gives each document a posterior over the domains, and the document counts in
 every domain by its share. Rates, one per document and never negative, are fitted so that the
 expected tokens of each domain reach their targets: the least-squares problem over all documents
-is solved by projected gradient steps. A step needs one number per domain from the whole table, so
-it is one distributed sum; the rate of a document follows from the steps so far, so nothing is
-written between them. The residuals are whitened with the domains' second-moment matrix, which
-makes the steps converge in few passes.
+is solved by projected gradient steps with lazy projection. The steps are added up unprojected, in
+one number per domain, and the rate of a document is its share of that sum, added to 1 and projected
+to what is not negative. So one short vector is the whole state, a plan is as large at the last step
+as at the first, and nothing is written between them. A step is one distributed sum, which also
+gives the second-moment matrix of the documents whose rate is above 0; the residuals are whitened
+with it, which makes the steps converge in few passes.
 
 A rate is the expected number of copies of a document. `resample` turns rates into whole copies by
 a hash of the row, so the same documents are chosen on every run.
@@ -16,7 +18,8 @@ Only DataFrame functions and Spark's own models are used; no row passes through
 
 Defined cases: a null or empty text has no tokens, the prior of the domains as its posterior and
 rate 1, since it moves no target; a null domain teaches nothing; domains without a target are not
-modelled; targets that no document can reach are met as well as least squares can; one domain alone
+modelled, and without targets the domains beyond the MOST_DOMAINS - 1 largest are one domain, as the
+matrix has a number for each pair; targets that no document can reach are met as well as least squares can; one domain alone
 gives every document the same rate; an empty table gives an empty result; repeated rows get equal
 rates; other columns pass through untouched.
 """
@@ -41,8 +44,11 @@ WORD_SLOTS = 1 << 14
 SAMPLE_PER_DOMAIN = 400
 #: Posteriors are flattened by this power of the number of words, so that long texts stay soft.
 SOFTNESS = 0.75
-STEPS = 40
+STEPS = 25
 CLOSE = 1e-4
+#: Domains of one fit, and the name of those that are fitted as one.
+MOST_DOMAINS = 32
+OTHER = "(other)"
 #: Targets grow as the domains' own shares to this power: below 1 it lifts the small ones.
 TEMPERATURE = 0.7
 
@@ -161,50 +167,61 @@ def own_targets(shares: dict[str, float], temperature: float = TEMPERATURE) -> d
 
 # --- the fit ----------------------------------------------------------------------------------
 
-def rate(tokens: Column, member: Column, steps: list[np.ndarray]) -> Column:
-    """The rate after these steps: from 1, each step adds the document's share of its direction
-    and what falls below 0 is set to 0."""
-    if not steps:
+def rate(tokens: Column, member: Column, moved: np.ndarray | None) -> Column:
+    """The rate when the steps add up to `moved`: 1 and the document's share of it, if above 0.
+
+    The vector is an array and not one literal per domain, so that generated code does not change
+    with its values."""
+    if moved is None:
         return F.lit(1.0)
-    moves = F.array(*[F.array(*[F.lit(float(x)) for x in step]) for step in steps])
-    move = lambda step: tokens * F.aggregate(
-        F.zip_with(member, step, lambda p, s: p * s), F.lit(0.0), lambda a, x: a + x
+    share = F.aggregate(
+        F.zip_with(member, F.array(*[F.lit(float(x)) for x in moved]), lambda p, m: p * m),
+        F.lit(0.0), lambda a, x: a + x,
     )
-    return F.aggregate(moves, F.lit(1.0), lambda r, step: F.greatest(r + move(step), F.lit(0.0)))
+    return F.greatest(F.lit(1.0) + tokens * share, F.lit(0.0))
 
 
-def fit_rates(rows: DataFrame, targets: list[float], steps: int = STEPS) -> list[np.ndarray]:
+def fit_rates(rows: DataFrame, targets: list[float], steps: int = STEPS) -> np.ndarray | None:
     """Projected gradient steps for `rows` (tokens, member): the sums over documents of rate times
-    tokens times membership are to equal `targets` (shares of all tokens).
+    tokens times membership are to equal `targets` (shares of all tokens). Returns the sum of the
+    steps, or None if there are no tokens.
 
-    With A the matrix of tokens times membership and G = A'A, the objective is the residual's norm
-    under the inverse of G. Its gradient has Lipschitz constant 1, so a step of full length is
-    safe. The best steps so far are kept; five that bring nothing better end the fit."""
+    With A the matrix of tokens times membership, the residual A'r - t is whitened with the second
+    moments of the rows whose rate is above 0. A step that brings nothing better is halved; the best
+    sum so far is kept, and five halvings end the fit."""
     count = len(targets)
+    pairs = [(i, j) for i in range(count) for j in range(i, count)]
     share = [F.col("tokens") * F.element_at("member", i + 1) for i in range(count)]
-    moments = rows.agg(
-        F.sum("tokens").alias("total"),
-        *[F.sum(share[i] * share[j]).alias(f"g{i}_{j}") for i in range(count) for j in range(i, count)],
-    ).first()
-    total = float(moments["total"] or 0)
-    if not total:
-        return []
-    matrix = np.array([[float(moments[f"g{min(i, j)}_{max(i, j)}"]) for j in range(count)]
-                       for i in range(count)])
-    inverse = np.linalg.pinv(matrix, rcond=1e-10, hermitian=True)
-    wanted = np.array(targets) * total
-    made: list[np.ndarray] = []
-    best, best_miss = [], np.inf
+    wanted = None
+    best, best_miss, step, length = np.zeros(count), np.inf, None, 1.0
+    moved = best
     for _ in range(steps):
-        now = rate(F.col("tokens"), F.col("member"), made)
-        sums = rows.agg(*[F.sum(share[i] * now).alias(f"s{i}") for i in range(count)]).first()
-        residual = np.array([float(x) for x in sums]) - wanted
-        miss = float(np.abs(residual).sum() / total)
+        now = rows.select("tokens", "member", rate(F.col("tokens"), F.col("member"), moved).alias("now"))
+        live = F.when(F.col("now") > 0, 1.0).otherwise(0.0)
+        sums = now.agg(
+            F.sum("tokens").alias("total"),
+            *[F.sum(share[i] * F.col("now")).alias(f"s{i}") for i in range(count)],
+            *[F.sum(live * share[i] * share[j]).alias(f"g{i}_{j}") for i, j in pairs],
+        ).first()
+        if not sums["total"]:
+            return None
+        if wanted is None:
+            wanted = np.array(targets) * float(sums["total"])
+        residual = np.array([float(sums[f"s{i}"]) for i in range(count)]) - wanted
+        miss = float(np.abs(residual).sum() / sums["total"])
         if miss < best_miss:
-            best, best_miss = list(made), miss
-        if miss < CLOSE or (len(made) - len(best) >= 5):
-            break
-        made.append(-(inverse @ residual))
+            best, best_miss, length = moved, miss, 1.0
+            if miss < CLOSE:
+                break
+            matrix = np.zeros((count, count))
+            for i, j in pairs:
+                matrix[i, j] = matrix[j, i] = float(sums[f"g{i}_{j}"])
+            step = -(np.linalg.pinv(matrix, rcond=1e-10, hermitian=True) @ residual)
+        else:
+            length /= 2
+            if length < 1 / 16:
+                break
+        moved = best + length * step
     return best
 
 
@@ -213,15 +230,22 @@ def mix(docs: DataFrame, domain: str, targets: dict[str, float] | None = None,
     """All columns of `docs` with `rate`, `tokens` and `member` (posteriors), and `domains` their
     order (underscores are added to names that are taken).
 
-    `targets` are shares by domain; without them the domains' own token shares are flattened. The
-    domains are those of the targets, so their number is the caller's."""
-    labelled = docs.select(col("text").alias("text"), col(domain).cast("string").alias("domain"))
+    `targets` are shares by domain; without them the domains' own token shares are flattened."""
+    group = col(domain).cast("string")
     if targets is None:
-        worded = labelled.where(F.col("domain").isNotNull() & F.col("text").rlike(r"\S"))
-        domains = [r["domain"] for r in worded.select("domain").distinct().collect()]
+        worded = docs.where(group.isNotNull() & col("text").rlike(r"\S")).groupBy(group.alias("domain"))
+        largest = worded.count().orderBy(F.desc("count"), "domain").limit(MOST_DOMAINS + 1).collect()
+        domains = [r["domain"] for r in largest]
+        if len(domains) > MOST_DOMAINS:
+            named = domains[:MOST_DOMAINS - 1]
+            group = F.when(group.isin(named), group).when(group.isNotNull(), F.lit(OTHER))
+            domains = [*named, OTHER]
     else:
         targets = {d: t for d, t in targets.items() if t > 0}
         domains = list(targets)
+        if len(domains) > MOST_DOMAINS:
+            raise ValueError(f"{len(domains)} targets: one fit takes {MOST_DOMAINS} domains")
+    labelled = docs.select(col("text").alias("text"), group.alias("domain"))
     model = fit(labelled, sorted(domains), per_domain)
     names = {n: unused(docs.columns, n) for n in ("rate", "tokens", "member", "domains")}
     # written once: the fit then reads two columns of it, and no document is split or scored twice
@@ -229,7 +253,7 @@ def mix(docs: DataFrame, domain: str, targets: dict[str, float] | None = None,
         posteriors(docs, model, names["member"], tokens=names["tokens"]), "memberships"
     )
     if targets is None:
-        own = rows.groupBy(col(domain).cast("string").alias("d")).agg(
+        own = rows.groupBy(group.alias("d")).agg(
             F.sum(col(names["tokens"])).alias("n")
         )
         targets = own_targets({r["d"]: float(r["n"]) for r in own.where("d is not null").collect()})
@@ -238,9 +262,9 @@ def mix(docs: DataFrame, domain: str, targets: dict[str, float] | None = None,
     )
     wanted = np.array([targets.get(d, 0.0) for d in model.domains])
     wanted = wanted / wanted.sum() if wanted.sum() else np.ones(len(wanted)) / len(wanted)
-    steps = fit_rates(narrow, wanted.tolist())
+    moved = fit_rates(narrow, wanted.tolist())
     return rows.withColumn(
-        names["rate"], rate(col(names["tokens"]), col(names["member"]), steps)
+        names["rate"], rate(col(names["tokens"]), col(names["member"]), moved)
     ).withColumn(names["domains"], F.array(*[F.lit(d) for d in model.domains]))
 
 

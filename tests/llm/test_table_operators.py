@@ -332,3 +332,36 @@ def test_pipeline_of_an_empty_table(spark):
     for _, stage in corpus_pipeline.STAGES[:3]:
         docs = stage(spark, docs, SF)
         assert docs.count() == 0
+
+
+def test_targets_are_met_in_few_passes_of_one_plan_size(spark, monkeypatch):
+    random.seed(31)
+    rows = []
+    for _ in range(400):
+        member = [random.random() ** 4 for _ in range(4)]
+        rows.append((random.randint(1, 500), [m / sum(member) for m in member]))
+    df = spark.createDataFrame(rows, "tokens long, member array<double>")
+    sizes, real = [], soft_mixing.rate
+
+    def measured(tokens, member, moved):
+        sizes.append(len(str(df.select(real(tokens, member, moved))._jdf.queryExecution().analyzed())) // 50)
+        return real(tokens, member, moved)
+
+    monkeypatch.setattr(soft_mixing, "rate", measured)
+    moved = soft_mixing.fit_rates(df, [0.55, 0.05, 0.05, 0.35])  # far from their own: some rates are 0
+    # the first vector prints shorter, being zeros; from then on the plan does not grow
+    assert len(sizes) <= 15 and max(sizes[1:]) <= min(sizes[1:]) + 1
+    found = df.withColumn("r", real(F.col("tokens"), F.col("member"), moved))
+    sums = found.agg(F.sum("tokens"), F.min("r"), *[
+        F.sum(F.col("tokens") * F.col("r") * F.element_at("member", i + 1)) for i in range(4)]).first()
+    assert sums[1] == 0 and [round(x / sums[0], 3) for x in sums[2:]] == [0.55, 0.05, 0.05, 0.35]
+
+
+def test_many_domains_share_one(spark, monkeypatch):
+    monkeypatch.setattr(soft_mixing, "MOST_DOMAINS", 3)
+    rows = [(i, f"word{i % 7} text{i}", f"s{min(i % 7, 5)}") for i in range(70)]
+    mixed = soft_mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), "source")
+    assert sorted(mixed.first()["domains"]) == [soft_mixing.OTHER, "s0", "s5"] and mixed.count() == 70
+    with pytest.raises(ValueError, match="one fit takes"):
+        soft_mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), "source",
+                        {f"s{i}": 1.0 for i in range(6)})
