@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom import rules
 from ledgerloom.functions import dates, numbers, text
+from ledgerloom.operators.heavy import heavy_join
 from ledgerloom.operators.joins import lookup_join
 from ledgerloom.operators.keyed import keep_first
 from ledgerloom.operators.profile import long_form
@@ -88,8 +89,10 @@ def check_employees(
 ) -> DataFrame:
     """Every input row with repaired values, `dq_flags` and one `bad_*` marker per rule.
 
-    `finish_employees` and `employee_detections` read the result; stage it when both are needed.
+    The input is staged once, as medians, hire records, addresses and managers are all looked up in
+    it. `finish_employees` and `employee_detections` read the result; stage it when both are needed.
     """
+    employees = stage(employees, "employees")
     marked = _mark_blanks(employees)
     with_email = _derive_emails(marked, limits)
     dated = _repair_hire_dates(with_email, employees, history, limits)
@@ -235,18 +238,21 @@ def _level_medians(raw: DataFrame, limits: EmployeeRules) -> DataFrame:
 
 
 def _repair_managers(df: DataFrame, raw: DataFrame) -> DataFrame:
-    """Null managers that do not exist; mark active staff under an inactive manager."""
-    people = raw.groupBy(F.col("employee_id").alias("_manager")).agg(
+    """Null managers that do not exist; mark active staff under an inactive manager.
+
+    Many people may have one manager, or none: see `heavy_join`."""
+    people = raw.where(F.col("employee_id").isNotNull()).groupBy(F.col("employee_id").alias("_manager")).agg(
         F.max(numbers.known(F.col("status") == "Inactive")).alias("_manager_left")
-    ).filter(F.col("_manager").isNotNull())
+    )
     active = numbers.known(F.col("status") == "Active")
-    linked = df.join(people, F.col("manager_id") == F.col("_manager"), "left")
+    linked = heavy_join(stage(df, "measured"), people, "manager_id", "_manager")
+    found = F.col("_manager_left").isNotNull()
     return linked.withColumns({
         "bad_no_date_active": F.col("hire_date").isNull() & active,
-        "bad_manager": F.col("manager_id").isNotNull() & F.col("_manager").isNull(),
+        "bad_manager": F.col("manager_id").isNotNull() & ~found,
         "bad_manager_left": numbers.known(F.col("_manager_left")) & active,
-        "manager_id": F.col("_manager"),
-    }).drop("_manager", "_manager_left")
+        "manager_id": F.when(found, F.col("manager_id")),
+    }).drop("_manager_left")
 
 
 def _attach_trail(df: DataFrame) -> DataFrame:

@@ -261,3 +261,22 @@ def test_facts_of_one_key_and_day_are_split(spark):
     arguments = dict(key="k", day="day", version_key="k", value="value", name="found")
     merged = joins.as_of_join(facts, versions, **arguments, broadcast_rows=0)
     assert {r["found"] for r in merged.collect()} == {7} and merged.count() == 4000
+
+
+def test_heavy_join_needs_no_adaptive_splitting(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        df = spark.range(200_000, numPartitions=16).select(
+            "id", F.when(F.col("id") % 2 == 0, 7).when(F.col("id") % 3 == 0, None)
+            .otherwise(F.col("id") % 5000).alias("boss"))
+        names = spark.range(5000).select(F.col("id").alias("key"), F.col("id").alias("name"))
+        joined = heavy.heavy_join(df, names, "boss", "key")
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+        assert joined.where("name is null").count() == joined.where("boss is null").count()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert sum(sizes) == 200_000 and max(sizes) < 4 * sorted(sizes)[len(sizes) // 2]
