@@ -49,12 +49,14 @@ _PIECE = 1 << 23  # windows of a text that are anchored at a time
 @dataclass(frozen=True)
 class Sizes:
     """Bytes of text that a task cuts at a time, of stretches in a bucket, in one index, and the
-    most a bucket may hold in memory."""
+    most a bucket may hold in memory; ranges that wait, and crowded stretches in one row."""
 
     cut: int = 16 << 20
     bucket: int = 32 << 20
     index: int = 2_000_000
     hold: int = 128 << 20
+    ranges: int = 500_000
+    slice: int = 500
 
 
 # --- stretches --------------------------------------------------------------------------------
@@ -64,22 +66,31 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def stretches(data: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts, ends and anchor hashes of a text's stretches."""
-    found = [_stretches(data[low:low + _PIECE + length - 1], length, low)
-             for low in range(0, max(len(data) - length + 1, 0), _PIECE)]
-    if not found:
-        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)
-    return tuple(map(np.concatenate, zip(*found, strict=True)))
+def stretches(texts: list[bytes], length: int = LENGTH) -> Iterator[tuple[np.ndarray, ...]]:
+    """The stretches of some texts, in parts: number of the text, start, anchor hash, and the bytes.
+
+    Texts are anchored side by side in one buffer; windows that would cross an edge are left out."""
+    held, weight = [], 0
+    for number, data in enumerate(texts):
+        for low in range(0, max(len(data) - length + 1, 0), _PIECE):
+            held.append((number, low, data[low:low + _PIECE + length - 1]))
+            weight += len(held[-1][2])
+            if weight >= _PIECE // 2:
+                yield _stretches(held, length)
+                held, weight = [], 0
+    if held:
+        yield _stretches(held, length)
 
 
-def _stretches(data: bytes, length: int, shift: int):
+def _stretches(held: list, length: int) -> tuple[np.ndarray, ...]:
+    data = b"".join(piece for *_, piece in held)
     width = length - ANCHOR + 1  # anchors of one window
     words = np.ndarray(len(data) - 7, "<u8", data, 0, (1,)).astype(np.uint64)
     grams = len(data) - ANCHOR + 1
     hashed = _mix(words[:grams])
     for at in range(8, ANCHOR, 8):
-        hashed = _mix(hashed ^ words[at:at + grams])
+        hashed ^= words[at:at + grams]
+        hashed = _mix(hashed)
     # the place in the low bits makes the leftmost of equal ones the least
     keys = (hashed & ~_PLACE) | np.arange(grams, dtype=np.uint64)
     padded = np.full(-(-grams // width) * width, ~np.uint64(0))
@@ -88,10 +99,19 @@ def _stretches(data: bytes, length: int, shift: int):
     ahead = np.minimum.accumulate(blocks, axis=1).ravel()
     back = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
     windows = len(data) - length + 1
-    place = np.minimum(back[:windows], ahead[width - 1:width - 1 + windows]) & _PLACE
-    starts = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
-    last = np.r_[starts[1:], windows] - 1
-    return starts + shift, last + length + shift, hashed[place[starts].astype(np.int64)]
+    place = (np.minimum(back[:windows], ahead[width - 1:width - 1 + windows]) & _PLACE).astype(np.int64)
+    sizes = np.fromiter((len(piece) for *_, piece in held), np.int64, len(held))
+    ends = np.cumsum(sizes)
+    inside = np.ones(windows, bool)
+    for end in ends[:-1].tolist():
+        inside[end - length + 1:end] = False
+    joined = inside[1:] & inside[:-1] & (place[1:] == place[:-1])
+    starts = np.flatnonzero(inside & np.concatenate([[True], ~joined]))
+    lasts = np.flatnonzero(inside & np.concatenate([~joined, [True]]))
+    piece = np.searchsorted(ends, starts, side="right")
+    number, low = (np.array([p[i] for p in held], np.int64) for i in (0, 1))
+    texts = [data[s:e] for s, e in zip(starts.tolist(), (lasts + length).tolist(), strict=True)]
+    return number[piece], starts - (ends - sizes)[piece] + low[piece], hashed[place[starts]], texts
 
 
 @dataclass
@@ -146,47 +166,57 @@ def settle(all_: Stretches) -> tuple[Stretches, np.ndarray]:
 
 
 class Ranges:
-    """Matched byte ranges of documents, collected to one row a document."""
+    """Matched byte ranges of documents, handed on in groups of documents."""
 
-    def __init__(self):
+    def __init__(self, groups: int):
         self.parts: list = []
+        self.groups = groups
 
-    def add(self, doc, tag, start, end) -> None:
-        self.parts.append((doc, tag, start, end))
+    def add(self, part: Stretches, rows, start, end) -> None:
+        self.parts.append(np.stack([part.doc[rows], part.tag[rows], start, end]))
 
-    def frame(self, buckets: int) -> pd.DataFrame:
-        doc, tag, start, end = map(np.concatenate, zip(*self.parts, strict=True)) if self.parts else [
-            np.empty(0, np.int64)] * 4
+    def frames(self) -> Iterator[pd.DataFrame]:
+        """One row per group: the merged ranges of its documents."""
+        if not self.parts:
+            return
+        merged = merge_all(np.concatenate(self.parts, axis=1))
         self.parts = []
-        rows = np.lexsort((start, tag, doc))
-        doc, tag, start, end = doc[rows], tag[rows], start[rows], end[rows]
-        new = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (tag[1:] != tag[:-1])][:len(doc)])
-        merged = [merge(np.stack([s, e], axis=1)) for s, e in zip(
-            np.split(start, new[1:]), np.split(end, new[1:]), strict=True)] if len(doc) else []
-        return pd.DataFrame({
-            "bucket": ((doc[new] ^ tag[new]) % buckets).astype("int64"), "packed": None, "doc": doc[new],
-            "tag": tag[new], "ranges": [m.astype("<i8").tobytes() for m in merged],
-        })
+        group = (merged[0] ^ merged[1]) % self.groups
+        for one in np.unique(group).tolist():
+            yield _row(one, ranges=merged[:, group == one].astype("<i8").tobytes())
 
 
-def merge(ranges: np.ndarray) -> np.ndarray:
-    """Sorted, disjoint and non-touching ranges that cover the same bytes."""
-    if not len(ranges):
-        return ranges.reshape(0, 2)
-    ranges = ranges[np.argsort(ranges[:, 0], kind="stable")]
-    reach = np.maximum.accumulate(ranges[:, 1])
-    new = np.flatnonzero(np.r_[True, ranges[1:, 0] > reach[:-1]])
-    return np.stack([ranges[new, 0], reach[np.r_[new[1:], len(ranges)] - 1]], axis=1)
+def merge_all(ranges: np.ndarray) -> np.ndarray:
+    """Rows doc, tag, start, end: sorted, and disjoint within a document."""
+    ranges = ranges[:, np.lexsort((ranges[2], ranges[1], ranges[0]))]
+    if not ranges.shape[1]:
+        return ranges
+    document = np.concatenate([[0], np.cumsum((np.diff(ranges[0]) != 0) | (np.diff(ranges[1]) != 0))])
+    far = int(ranges[3].max()) + 1
+    reach = np.maximum.accumulate(document * far + ranges[3])
+    new = np.concatenate([[True], (document * far + ranges[2])[1:] > reach[:-1]])
+    first = np.flatnonzero(new)
+    last = np.concatenate([first[1:], [len(new)]]) - 1
+    return np.stack([ranges[0, first], ranges[1, first], ranges[2, first], reach[last] - document[first] * far])
 
 
 # --- tasks ------------------------------------------------------------------------------------
 
-FIELDS = "bucket long, packed binary, doc long, tag long, ranges binary"
+FIELDS = "bucket long, packed binary, ranges binary"
+
 
+def _row(bucket: int, packed: bytes | None = None, ranges: bytes | None = None) -> pd.DataFrame:
+    """A row of stretches for their bucket, or of ranges for their group of documents."""
+    return pd.DataFrame({"bucket": [bucket], "packed": [packed], "ranges": [ranges]})
 
-def _packed(bucket: int, part: Stretches) -> pd.DataFrame:
-    """A row of stretches. Its doc and tag are 0, not null: nulls would turn the column to floats."""
-    return pd.DataFrame({"bucket": [bucket], "packed": [part.packed()], "doc": 0, "tag": 0, "ranges": None})
+
+def _settled(held: list[Stretches], ranges: Ranges) -> Stretches:
+    """The first ones of equal stretches; the others are matched whole."""
+    every = Stretches.joined(held)
+    first, later = settle(every)
+    size = np.fromiter((len(every.text[i]) for i in later.tolist()), np.int64, len(later))
+    ranges.add(every, later, every.start[later], every.start[later] + size)
+    return first
 
 
 def cut(frames: Iterator[pd.DataFrame], length: int, buckets: int, sizes: Sizes) -> Iterator[pd.DataFrame]:
@@ -195,46 +225,36 @@ def cut(frames: Iterator[pd.DataFrame], length: int, buckets: int, sizes: Sizes)
     held, weight = [], 0
 
     def flush() -> Iterator[pd.DataFrame]:
-        first, later = settle(Stretches.joined(held))
-        ranges = Ranges()
-        every = Stretches.joined(held)
-        ranges.add(every.doc[later], every.tag[later], every.start[later],
-                   every.start[later] + every.sizes[later])
-        yield ranges.frame(buckets)
+        ranges = Ranges(buckets)
+        first = _settled(held, ranges)
+        yield from ranges.frames()
         bucket = (first.anchor % np.uint64(buckets)).astype(np.int64)
         rows = np.argsort(bucket, kind="stable")
-        edges = np.flatnonzero(np.r_[True, np.diff(bucket[rows]) != 0])
-        for part in np.split(rows, edges[1:]):
-            yield _packed(bucket[part[0]], first.take(part))
+        for part in np.split(rows, np.flatnonzero(np.diff(bucket[rows])) + 1):
+            yield _row(int(bucket[part[0]]), first.take(part).packed())
 
     for frame in frames:
-        for doc, tag, text in zip(frame["doc"], frame["tag"], frame["text"], strict=True):
-            data = text.encode()
-            starts, ends, anchors = stretches(data, length)
-            if not len(starts):
-                continue
-            texts = [data[s:e] for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]
+        doc, tag = frame["doc"].to_numpy(), frame["tag"].to_numpy()
+        for number, start, anchor, texts in stretches([t.encode() for t in frame["text"]], length):
             digest = np.fromiter(map(xxhash.xxh3_64_intdigest, texts), np.uint64, len(texts))
-            held.append(Stretches(np.full(len(texts), doc), np.full(len(texts), tag), starts, anchors,
-                                  digest, texts))
-            weight += len(data)
-            if weight >= sizes.cut:
-                yield from flush()
-                held, weight = [], 0
+            held.append(Stretches(doc[number], tag[number], start, anchor, digest, texts))
+        weight += int(frame["text"].str.len().sum())
+        if weight >= sizes.cut and held:
+            yield from flush()
+            held, weight = [], 0
     if held:
         yield from flush()
 
 
-def match(frames: Iterator[pd.DataFrame], length: int, buckets: int, sizes: Sizes) -> Iterator[pd.DataFrame]:
-    """Matched ranges of sorted buckets. Stretches of crowded anchors come out as they are."""
+def match(frames: Iterator[pd.DataFrame], length: int, groups: int, sizes: Sizes) -> Iterator[pd.DataFrame]:
+    """Matched ranges of sorted buckets, by group of documents. Stretches of crowded anchors come out
+    as they are."""
     bucket, held, weight, crowded = None, [], 0, set()
+    ranges, waiting = Ranges(groups), 0
 
-    def settled(ranges: Ranges) -> Stretches:
-        every = Stretches.joined(held)
-        first, later = settle(every)
-        ranges.add(every.doc[later], every.tag[later], every.start[later],
-                   every.start[later] + every.sizes[later])
-        return first
+    def packed(part: Stretches) -> Iterator[pd.DataFrame]:
+        for low in range(0, len(part.text), sizes.slice):
+            yield _row(-1, part.take(slice(low, low + sizes.slice)).packed())
 
     def split(every: Stretches, names: set) -> tuple[Stretches, Stretches]:
         away = np.isin(every.anchor, np.fromiter(names, np.uint64, len(names)))
@@ -243,8 +263,7 @@ def match(frames: Iterator[pd.DataFrame], length: int, buckets: int, sizes: Size
     def shrink() -> Iterator[pd.DataFrame]:
         """Repeats go; if that does not halve what is held, so do the largest anchors."""
         nonlocal held, weight
-        ranges = Ranges()
-        first = settled(ranges)
+        first = _settled(held, ranges)
         size = first.sizes
         if size.sum() > sizes.hold // 2:
             names, inverse = np.unique(first.anchor, return_inverse=True)
@@ -253,33 +272,29 @@ def match(frames: Iterator[pd.DataFrame], length: int, buckets: int, sizes: Size
             left = size.sum() - np.cumsum(total[largest])
             crowded.update(names[largest[:int((left > sizes.hold // 2).sum()) + 1]].tolist())
             first, away = split(first, crowded)
-            yield _packed(bucket, away)
-        yield ranges.frame(buckets)
+            yield from packed(away)
         held, weight = [first], int(first.sizes.sum())
 
     def finish() -> Iterator[pd.DataFrame]:
-        ranges = Ranges()
-        first = settled(ranges)
-        names, edges = np.unique(first.anchor, return_index=True)
-        counts = np.diff(np.r_[edges, len(first.anchor)])
-        size = np.add.reduceat(first.sizes + 1, edges) if len(edges) else counts
+        first = _settled(held, ranges)
+        _, edges = np.unique(first.anchor, return_index=True)
+        counts = np.diff(np.concatenate([edges, [len(first.anchor)]]))
+        heavy = np.add.reduceat(first.sizes + 1, edges) if len(edges) else counts
+        several = counts > 1
         batch, total = [], 0
-        for low, count, heavy in zip(edges.tolist(), counts.tolist(), size.tolist(), strict=True):
-            if count < 2:
+        for low, count, size in zip(*(x[several].tolist() for x in (edges, counts, heavy)), strict=True):
+            if size > sizes.index:
+                yield from packed(first.take(slice(low, low + count)))
                 continue
-            if heavy > sizes.index:
-                yield _packed(bucket, first.take(slice(low, low + count)))
-                continue
-            if batch and total + heavy > sizes.index:
-                compare(first, batch, ranges)
+            if batch and total + size > sizes.index:
+                compare(first, batch)
                 batch, total = [], 0
             batch.append(np.arange(low, low + count))
-            total += heavy
+            total += size
         if batch:
-            compare(first, batch, ranges)
-        yield ranges.frame(buckets)
+            compare(first, batch)
 
-    def compare(first: Stretches, batch: list, ranges: Ranges) -> None:
+    def compare(first: Stretches, batch: list) -> None:
         """One index over whole anchors, its texts in the order of documents and places."""
         rows = np.concatenate(batch)
         rows = rows[np.lexsort((first.start[rows], first.tag[rows], first.doc[rows]))]
@@ -287,18 +302,16 @@ def match(frames: Iterator[pd.DataFrame], length: int, buckets: int, sizes: Size
         places = index.repeated(length)
         if not len(places):
             return
-        low = np.flatnonzero(np.r_[True, np.diff(places) != 1])
-        high = np.r_[low[1:], len(places)] - 1
+        low = np.concatenate([[0], np.flatnonzero(np.diff(places) != 1) + 1])
+        high = np.concatenate([low[1:], [len(places)]]) - 1
         of = np.searchsorted(index.starts, places[low], side="right") - 1
         start = first.start[rows[of]] - index.starts[of]
-        ranges.add(first.doc[rows[of]], first.tag[rows[of]], start + places[low],
-                   start + places[high] + length)
+        ranges.add(first, rows[of], start + places[low], start + places[high] + length)
 
     for frame in frames:
         for row in frame.itertuples():
             if row.packed is None:
-                yield pd.DataFrame({"bucket": [row.bucket], "packed": None, "doc": [row.doc],
-                                    "tag": [row.tag], "ranges": [row.ranges]})
+                ranges.parts.append(np.frombuffer(row.ranges, "<i8").reshape(4, -1))
                 continue
             if row.bucket != bucket:
                 if held:
@@ -307,12 +320,38 @@ def match(frames: Iterator[pd.DataFrame], length: int, buckets: int, sizes: Size
             part = Stretches.unpacked(row.packed)
             if crowded:
                 part, away = split(part, crowded)
-                if len(away.text):
-                    yield _packed(bucket, away)
+                yield from packed(away)
             held.append(part)
             weight += int(part.sizes.sum())
             if weight > sizes.hold:
                 yield from shrink()
+            if sum(p.shape[1] for p in ranges.parts) > sizes.ranges:
+                yield from ranges.frames()
+    if held:
+        yield from finish()
+    yield from ranges.frames()
+
+
+def by_document(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """One row per document of sorted groups: its disjoint ranges."""
+    group, held = None, []
+
+    def finish() -> Iterator[pd.DataFrame]:
+        merged = merge_all(np.concatenate(held, axis=1))
+        edges = np.flatnonzero((np.diff(merged[0]) != 0) | (np.diff(merged[1]) != 0)) + 1
+        pairs = np.ascontiguousarray(merged[2:].T)
+        yield pd.DataFrame({
+            "doc": merged[0, np.concatenate([[0], edges])], "tag": merged[1, np.concatenate([[0], edges])],
+            "ranges": [p.astype("<i8").tobytes() for p in np.split(pairs, edges)],
+        })
+
+    for frame in frames:
+        for row in frame.itertuples():
+            if row.bucket != group:
+                if held:
+                    yield from finish()
+                group, held = row.bucket, []
+            held.append(np.frombuffer(row.ranges, "<i8").reshape(4, -1))
     if held:
         yield from finish()
 
@@ -322,12 +361,23 @@ def windows(frames: Iterator[pd.DataFrame], length: int) -> Iterator[pd.DataFram
     for frame in frames:
         for packed in frame["packed"]:
             part = Stretches.unpacked(packed)
-            for doc, tag, start, text in zip(part.doc, part.tag, part.start, part.text, strict=True):
-                many = len(text) - length + 1
-                yield pd.DataFrame({
-                    "hash": [xxhash.xxh3_128_digest(text[i:i + length]) for i in range(many)],
-                    "doc": doc, "tag": tag, "start": start + np.arange(many),
-                })
+            many = part.sizes - length + 1
+            row = np.repeat(np.arange(len(many)), many)
+            at = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
+            yield pd.DataFrame({
+                "hash": [xxhash.xxh3_128_digest(part.text[r][a:a + length])
+                         for r, a in zip(row.tolist(), at.tolist(), strict=True)],
+                "doc": part.doc[row], "tag": part.tag[row], "start": part.start[row] + at,
+            })
+
+
+def found_ranges(frames: Iterator[pd.DataFrame], length: int, groups: int) -> Iterator[pd.DataFrame]:
+    """Windows (doc, tag, start) as merged ranges by group of documents."""
+    for frame in frames:
+        ranges = Ranges(groups)
+        start = frame["start"].to_numpy()
+        ranges.parts.append(np.stack([frame["doc"].to_numpy(), frame["tag"].to_numpy(), start, start + length]))
+        yield from ranges.frames()
 
 
 # --- on Spark ---------------------------------------------------------------------------------
@@ -339,8 +389,8 @@ def _keys(docs: DataFrame, key: str, text: str) -> tuple[Column, Column, Column]
 
 def matched_ranges(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH,
                    sizes: Sizes = Sizes()) -> DataFrame:
-    """Staged (doc, tag, ranges): byte ranges, each a union of windows that also begin earlier. A
-    document may have several rows, whose ranges may overlap."""
+    """Staged (doc, tag, ranges): per document the disjoint byte ranges that are unions of windows
+    which also begin earlier; documents without any are left out."""
     if length < ANCHOR + 8:
         raise ValueError(f"windows need at least {ANCHOR + 8} bytes")
     doc, tag, whole = _keys(docs, key, text)
@@ -350,29 +400,22 @@ def matched_ranges(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     # a stretch has about half as many windows as a window has anchors
     overlap = 1 + 2 * length / (length - ANCHOR + 2)
     buckets = max(1, round(total * overlap / sizes.bucket))
-    parts = min(buckets, 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts, groups = min(buckets, 4 * tasks), min(buckets, tasks)
     sent = rows.mapInPandas(lambda frames: cut(frames, length, buckets, sizes), FIELDS)
     sorted_ = sent.repartition(parts, "bucket").sortWithinPartitions("bucket")
-    found = stage(sorted_.mapInPandas(lambda frames: match(frames, length, buckets, sizes), FIELDS), "matches")
-    whole_ranges = found.where("ranges is not null").select("doc", "tag", "ranges")
+    found = stage(sorted_.mapInPandas(lambda frames: match(frames, length, groups, sizes), FIELDS), "matches")
+    listed = found.where("ranges is not null").select("bucket", "ranges")
     crowded = found.where("packed is not null").select("packed")
-    if crowded.isEmpty():
-        return whole_ranges
-    every = stage(crowded.mapInPandas(
-        lambda frames: windows(frames, length), "hash binary, doc long, tag long, start long"), "windows")
-    first = every.groupBy("hash").agg(F.min(F.struct("doc", "tag", "start")).alias("f")).select("f.*")
-    again = every.join(first, ["doc", "tag", "start"], "left_anti")
-    end = F.col("start") + length
-    listed = again.groupBy("doc", "tag").agg(F.collect_list(F.struct("start", end.alias("end"))).alias("list"))
-
-    @F.pandas_udf("binary")
-    def pack(lists: pd.Series) -> pd.Series:
-        return pd.Series([
-            merge(np.array([(r["start"], r["end"]) for r in x], np.int64).reshape(-1, 2)).astype("<i8").tobytes()
-            for x in lists
-        ])
-
-    return whole_ranges.unionByName(stage(listed.select("doc", "tag", pack("list").alias("ranges")), "ranges"))
+    if not crowded.isEmpty():
+        every = stage(crowded.repartition(parts).mapInPandas(
+            lambda frames: windows(frames, length), "hash binary, doc long, tag long, start long"), "windows")
+        first = every.groupBy("hash").agg(F.min(F.struct("doc", "tag", "start")).alias("f")).select("f.*")
+        again = every.join(first, ["doc", "tag", "start"], "left_anti").select("doc", "tag", "start")
+        listed = listed.unionByName(again.mapInPandas(
+            lambda frames: found_ranges(frames, length, groups), FIELDS).drop("packed"))
+    grouped = listed.repartition("bucket").sortWithinPartitions("bucket")
+    return stage(grouped.mapInPandas(by_document, "doc long, tag long, ranges binary"), "ranges")
 
 
 def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH,
@@ -380,8 +423,7 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", length
     """All columns of `docs` and a struct `name`: the removed spans (start, end) and the bytes left."""
     found = matched_ranges(docs, key, text, length, sizes)
     side = [unused(docs.columns, n) for n in ("_doc", "_tag", "_ranges", "_own_doc", "_own_tag")]
-    by_doc = found.groupBy(F.col("doc").alias(side[0]), F.col("tag").alias(side[1])).agg(
-        F.collect_list("ranges").alias(side[2]))
+    by_doc = found.toDF(*side[:3])
     doc, tag, whole = _keys(docs, key, text)
     name = unused(docs.columns, name)
 
@@ -394,7 +436,7 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", length
                 spans.append([])
                 left.append(data)
                 continue
-            cut_ = merge(np.concatenate([np.frombuffer(p, "<i8") for p in packed]).reshape(-1, 2))
+            cut_ = np.frombuffer(packed, "<i8").reshape(-1, 2)
             spans.append([{"start": int(s), "end": int(e)} for s, e in cut_])
             edges = [0, *cut_.ravel().tolist(), len(data)]
             left.append(b"".join(data[edges[i]:edges[i + 1]] for i in range(0, len(edges), 2)))

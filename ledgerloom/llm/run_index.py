@@ -12,10 +12,6 @@ from collections.abc import Sequence
 
 import numpy as np
 
-#: Symbols that the first sort compares: 9 bits each in one integer.
-FIRST = 7
-
-
 class RunIndex:
     """The index of a list of byte strings; a separator smaller than any byte ends each of them."""
 
@@ -23,9 +19,12 @@ class RunIndex:
         sizes = np.fromiter(map(len, texts), np.int64, len(texts))
         self.starts = np.cumsum(sizes + 1) - sizes - 1
         n = int(sizes.sum()) + len(texts)
-        symbols = np.frombuffer(b"\0".join(texts) + b"\0", np.uint8).astype(np.int16) + 1
+        whole = b"\0".join(texts) + b"\0"
+        symbols = np.frombuffer(whole, np.uint8).astype(np.int16) + 1
         symbols[self.starts + sizes] = 0
         self.symbols = symbols
+        padded = whole + b"\0" * 8
+        self.words = np.ndarray(n, "<u8", padded, 0, (1,)).astype(np.uint64)
         self.rest = np.repeat(self.starts + sizes, sizes + 1) - np.arange(n)
         order = self._suffixes()
         before = symbols[order - 1]  # the transform; the first text is preceded by the last separator
@@ -39,39 +38,62 @@ class RunIndex:
 
     def _suffixes(self) -> np.ndarray:
         """Suffix array by prefix doubling; equal suffixes are ordered by position, as separators
-        that grow with the position would have it."""
+        that grow with the position would have it. The first sort compares as many symbols as one
+        integer holds."""
         n = len(self.symbols)
-        key, alive = np.zeros(n, np.int64), np.ones(n, bool)
-        for t in range(FIRST):
+        used = np.unique(self.symbols)
+        dense = np.zeros(257, np.int64)
+        dense[used[used > 0]] = np.arange(1, (used > 0).sum() + 1)
+        code = dense[self.symbols]
+        bits = int(code.max(initial=1)).bit_length()
+        reach = 62 // bits
+        key, alive = code.copy(), code > 0
+        for t in range(1, reach):
             symbol = np.zeros(n, np.int64)
-            symbol[:n - t] = self.symbols[t:]
-            symbol[~alive] = 0
-            key = (key << 9) | symbol
-            alive &= symbol > 0
-        order = np.argsort(key, kind="stable")
-        reach, longest = FIRST, int(self.rest.max(initial=0))
-        while reach < longest:
-            ordered = key[order]
-            rank = np.empty(n, np.int64)
-            rank[order] = np.cumsum(np.r_[0, ordered[1:] != ordered[:-1]])
-            if rank.max() == n - 1:
+            symbol[:n - t] = code[t:]
+            symbol *= alive
+            key = (key << bits) | symbol
+            alive = symbol > 0
+        # a rank is the first place of equal ones; only those that are not alone are sorted again
+        order = np.argsort(key)
+        ordered = key[order]
+        rank = np.empty(n, np.int64)
+        places, first = np.arange(n), self._first(ordered)
+        rank[order] = first
+        while True:
+            alone = np.diff(first, prepend=-1) != 0
+            alone &= np.diff(first, append=n) != 0
+            places = places[~alone]
+            places = places[self.rest[order[places]] >= reach]  # shorter ones are equal to the end
+            if not len(places):
                 break
-            longer = np.flatnonzero(self.rest > reach)
-            key = rank * (n + 1)
-            key[longer] += rank[longer + reach] + 1
-            order = np.argsort(key, kind="stable")
+            open_ = order[places]
+            key = rank[open_] * (n + 1) + rank[open_ + reach] + 1
+            by = np.argsort(key)
+            order[places] = open_ = open_[by]
+            first = places[self._first(key[by])]
+            rank[open_] = first
             reach *= 2
-        return order
+        return np.argsort(rank * n + np.arange(n))
+
+    @staticmethod
+    def _first(ordered: np.ndarray) -> np.ndarray:
+        """For each value of a sorted list the place of its first equal."""
+        new = np.concatenate([[True], ordered[1:] != ordered[:-1]])
+        return np.maximum.accumulate(np.where(new, np.arange(len(ordered)), 0))
 
     def _common(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """Length of the common start of pairs of suffixes, up to the separators."""
+        """Length of the common start of pairs of suffixes, up to the separators, by eight bytes."""
         length = np.zeros(len(left), np.int64)
-        at = np.flatnonzero(left != right)
+        most = np.minimum(self.rest[left], self.rest[right])
+        at = np.flatnonzero((left != right) & (most > 0))
         while len(at):
-            symbol = self.symbols[left[at] + length[at]]
-            at = at[(symbol > 0) & (symbol == self.symbols[right[at] + length[at]])]
-            length[at] += 1
-        return length
+            differ = self.words[left[at] + length[at]] ^ self.words[right[at] + length[at]]
+            lowest = differ & (~differ + np.uint64(1))
+            same = np.where(differ == 0, 8, np.log2(np.maximum(lowest, 1).astype(float)).astype(np.int64) // 8)
+            length[at] += same
+            at = at[(differ == 0) & (length[at] < most[at])]
+        return np.minimum(length, most)
 
     def statistics(self) -> tuple[np.ndarray, np.ndarray]:
         """For each place of the texts, the place of the suffix sorted before it and the length that

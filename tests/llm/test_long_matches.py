@@ -60,7 +60,7 @@ def corpus():
 
 
 @pytest.mark.parametrize("sizes", [{}, {"cut": 2000, "bucket": 5000}, {"cut": 4000, "index": 800},
-                                   {"cut": 3000, "bucket": 20_000, "hold": 6000}])
+                                   {"cut": 3000, "bucket": 20_000, "hold": 6000, "slice": 3, "ranges": 5}])
 def test_spans_equal_the_set_of_windows(spark, sizes):
     rows = corpus()
     wanted = plain(rows)
@@ -79,24 +79,32 @@ def test_cases(spark):
     assert sorted(len(b) for _, b in got.values()) in ([0, 301], [1, 300])
 
 
-def test_a_text_of_several_pieces(spark, monkeypatch):
-    monkeypatch.setattr(lm, "_PIECE", 150)
-    data = bytes(random.Random(2).choices(range(97, 110), k=2000))
-    starts, ends, _ = lm.stretches(data)
-    windows = [w for s, e in zip(starts, ends) for w in range(s, e - lm.LENGTH + 1)]
-    assert windows == list(range(len(data) - lm.LENGTH + 1))  # each window once, in order
+def windows_of(texts, length=lm.LENGTH):
+    """Start and anchor of each window, by text."""
+    out = [[] for _ in texts]
+    for number, starts, anchors, parts in lm.stretches(texts, length):
+        for n, s, a, part in zip(number.tolist(), starts.tolist(), anchors.tolist(), parts):
+            assert texts[n][s:s + len(part)] == part
+            out[n] += [(w, a) for w in range(s, s + len(part) - length + 1)]
+    return out
+
+
+@pytest.mark.parametrize("piece", [150, 700, 1 << 23])
+def test_each_window_is_in_one_stretch(monkeypatch, piece):
+    monkeypatch.setattr(lm, "_PIECE", piece)
+    rng = random.Random(2)
+    texts = [bytes(rng.choices(range(97, 110), k=n)) for n in (2000, 0, 99, 100, 101, 350, 1000)]
+    found = windows_of(texts)
+    assert [[w for w, _ in f] for f in found] == [list(range(max(len(t) - 99, 0))) for t in texts]
 
 
 def test_equal_windows_have_equal_anchors():
     rng = random.Random(3)
     common = bytes(rng.choices(b"abc ", k=180))
-    one, two = bytes(rng.choices(b"abc ", k=90)) + common, common + bytes(rng.choices(b"abc ", k=77))
-    anchors = []
-    for data in (one, two):
-        starts, ends, anchor = lm.stretches(data)
-        anchors.append({data[w:w + 100]: a for s, e, a in zip(starts, ends, anchor) for w in range(s, e - 99)})
-    shared = anchors[0].keys() & anchors[1].keys()
-    assert len(shared) >= 81 and all(anchors[0][w] == anchors[1][w] for w in shared)
+    texts = [bytes(rng.choices(b"abc ", k=90)) + common, common + bytes(rng.choices(b"abc ", k=77))]
+    one, two = ({t[w:w + 100]: a for w, a in f} for t, f in zip(texts, windows_of(texts)))
+    shared = one.keys() & two.keys()
+    assert len(shared) >= 81 and all(one[w] == two[w] for w in shared)
 
 
 @pytest.mark.parametrize("seed", range(6))
