@@ -186,42 +186,43 @@ def fit_rates(rows: DataFrame, targets: list[float], steps: int = STEPS) -> np.n
     tokens times membership are to equal `targets` (shares of all tokens). Returns the sum of the
     steps, or None if there are no tokens.
 
-    With A the matrix of tokens times membership, the residual A'r - t is whitened with the second
-    moments of the rows whose rate is above 0. A step that brings nothing better is halved; the best
-    sum so far is kept, and five halvings end the fit."""
+    With A the matrix of tokens times membership, t the targets and m the sum of the steps, each
+    step lowers sum(r^2)/2 - m't, whose gradient is the residual A'r - t. The residual is whitened
+    with the second moments of the rows whose rate is above 0; a step that does not lower it is
+    halved."""
     count = len(targets)
     pairs = [(i, j) for i in range(count) for j in range(i, count)]
     share = [F.col("tokens") * F.element_at("member", i + 1) for i in range(count)]
-    wanted = None
-    best, best_miss, step, length = np.zeros(count), np.inf, None, 1.0
-    moved = best
+    live = F.when(F.col("now") > 0, 1.0).otherwise(0.0)
+    measures = [
+        F.sum("tokens").alias("total"), F.sum(F.col("now") * F.col("now")).alias("square"),
+        *[F.sum(share[i] * F.col("now")).alias(f"s{i}") for i in range(count)],
+        *[F.sum(live * share[i] * share[j]).alias(f"g{i}_{j}") for i, j in pairs],
+    ]
+    best, best_value, step, slope, length = np.zeros(count), np.inf, np.zeros(count), 0.0, 1.0
     for _ in range(steps):
-        now = rows.select("tokens", "member", rate(F.col("tokens"), F.col("member"), moved).alias("now"))
-        live = F.when(F.col("now") > 0, 1.0).otherwise(0.0)
-        sums = now.agg(
-            F.sum("tokens").alias("total"),
-            *[F.sum(share[i] * F.col("now")).alias(f"s{i}") for i in range(count)],
-            *[F.sum(live * share[i] * share[j]).alias(f"g{i}_{j}") for i, j in pairs],
-        ).first()
+        moved = best + length * step
+        now = rate(F.col("tokens"), F.col("member"), moved)
+        sums = rows.select("tokens", "member", now.alias("now")).agg(*measures).first()
         if not sums["total"]:
             return None
-        if wanted is None:
-            wanted = np.array(targets) * float(sums["total"])
-        residual = np.array([float(sums[f"s{i}"]) for i in range(count)]) - wanted
-        miss = float(np.abs(residual).sum() / sums["total"])
-        if miss < best_miss:
-            best, best_miss, length = moved, miss, 1.0
-            if miss < CLOSE:
-                break
-            matrix = np.zeros((count, count))
-            for i, j in pairs:
-                matrix[i, j] = matrix[j, i] = float(sums[f"g{i}_{j}"])
-            step = -(np.linalg.pinv(matrix, rcond=1e-10, hermitian=True) @ residual)
-        else:
+        total = float(sums["total"])
+        wanted = np.array(targets) * total
+        value = float(sums["square"]) / 2 - float(moved @ wanted)
+        if value > best_value + 1e-4 * length * slope:
             length /= 2
-            if length < 1 / 16:
-                break
-        moved = best + length * step
+            continue
+        residual = np.array([float(sums[f"s{i}"]) for i in range(count)]) - wanted
+        best, best_value, length = moved, value, 1.0
+        if np.abs(residual).sum() < CLOSE * total:
+            break
+        matrix = np.zeros((count, count))
+        for i, j in pairs:
+            matrix[i, j] = matrix[j, i] = float(sums[f"g{i}_{j}"])
+        step = -(np.linalg.pinv(matrix, rcond=1e-10, hermitian=True) @ residual)
+        slope = float(step @ residual)
+        if slope >= -1e-12 * abs(best_value):
+            break  # no direction is left: the targets are met as well as can be
     return best
 
 
