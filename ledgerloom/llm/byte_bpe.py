@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.support import col, load_ranks, unused
+from ledgerloom.llm.support import col, load_ranks, ship_file, shipped, unused
 
 #: Texts up to this many characters go to the library whole.
 PIECE_CHARS = 50_000
@@ -38,7 +38,7 @@ def encoding(path: str, pattern: str):
     import tiktoken
 
     return tiktoken.Encoding(
-        "local", pat_str=pattern, mergeable_ranks=load_ranks(path), special_tokens={}
+        "local", pat_str=pattern, mergeable_ranks=load_ranks(shipped(path)), special_tokens={}
     )
 
 
@@ -99,7 +99,8 @@ def tokens(text: Column, path: str, pattern: str) -> Column:
 
 def with_tokens(docs: DataFrame, path: str, pattern: str, name: str = "tokens") -> DataFrame:
     """All columns of `docs` and one more, `name` (underscores are added if it is taken)."""
-    return docs.withColumn(unused(docs.columns, name), tokens(col("text"), path, pattern))
+    file = ship_file(docs.sparkSession, path)
+    return docs.withColumn(unused(docs.columns, name), tokens(col("text"), file, pattern))
 
 
 def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:

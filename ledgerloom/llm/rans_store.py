@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.support import col, range_bounds, range_of
+from ledgerloom.llm.support import col, range_bounds, range_positions, ship_file, shipped
 from ledgerloom.session import new_path
 
 BLOCK_TOKENS = 1 << 19
@@ -47,7 +47,7 @@ CHECKPOINT_STEPS = 64
 #: The shared table's frequencies add up to 2 to this power; it must exceed the vocabulary.
 TABLE_BITS = 20
 #: Words whose ids a Python worker keeps.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 1_500_000
 _LOW = np.uint64(1 << 31)
 _HEAD = struct.Struct("<4sBHHIIII")
 _DOCUMENT = np.dtype([("key", "<i8"), ("tokens", "<u4"), ("null", "u1")])
@@ -205,7 +205,6 @@ class Words(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
         self.alphabet = _printable_bytes()
 
@@ -214,8 +213,8 @@ class Words(dict):
         if word and len(word) < len(chunk) and self._simple(word):
             ids = self[word] + self[chunk[len(word):]]
         elif self._simple(chunk):
-            spelled = "".join(map(self.alphabet.__getitem__, chunk.encode()))
-            ids = np.array([t.id for t in self.model.tokenize(spelled)], "<u4").tobytes()
+            spelled = chunk if chunk.isascii() else "".join(map(self.alphabet.__getitem__, chunk.encode()))
+            ids = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(spelled)])
         else:
             found = self.tokenizer.encode(chunk, add_special_tokens=False).ids
             ids = np.array(found, "<u4").tobytes()
@@ -232,7 +231,8 @@ class Words(dict):
         last = np.array([end], "<u4").tobytes()
         found = []
         for text in texts:
-            if text and _PLAIN.match(text):
+            # the names of special tokens are special only as they are written
+            if text and "<|" not in text and _PLAIN.match(text):
                 chunks = text.lower().split()
             else:
                 chunks = [c for c in _BLANK.split(text) if c] if text else []
@@ -243,7 +243,7 @@ class Words(dict):
 
 @lru_cache(maxsize=2)
 def words(path: str) -> Words:
-    return Words(path)
+    return Words(shipped(path))
 
 
 def _batches(frames: Iterator[pd.DataFrame], rows: int = 64):
@@ -252,56 +252,77 @@ def _batches(frames: Iterator[pd.DataFrame], rows: int = 64):
             yield frame.iloc[low:low + rows]
 
 
-def _key(value) -> int | None:
-    return None if pd.isna(value) else int(value)
-
-
 # --- files ------------------------------------------------------------------------------------
 
 def tokenized(docs: DataFrame, tokenizer: str, end: int, key: str = "doc_id",
               text: str = "text") -> DataFrame:
-    """Blocks of ids in key order: part, seq, n_tokens, keys, lengths, ids. The texts cross the
-    network once, to the range of their key; a range's rows then stream through one task."""
+    """Blocks of ids in key order: part, seq, n_tokens, keys, absent, lengths, ids. Texts are encoded where
+    they are read; only their ids cross the network, once, to the range of their key, and a range's
+    rows then stream through one task."""
     bounds = range_bounds(docs, key)
     parts = max(len(bounds), 1)
-    placed = docs.select(
-        col(key).cast("long").alias("key"), col(text).alias("text"),
-        range_of(col(key), bounds).alias("part"),
-    )
-    ordered = placed.repartition(parts, "part").sortWithinPartitions(
-        "part", F.col("key").asc_nulls_last(), F.xxhash64("text"), "text"
+    number = col(key).cast("long")
+    rows = docs.select(
+        F.coalesce(number, F.lit(0)).alias("key"), number.isNull().alias("absent"),
+        F.xxhash64(col(text)).alias("tie"), col(text).alias("text"),
     )
 
+    def encode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        library = words(tokenizer)
+        for frame in _batches(frames):
+            ids = library.encode([None if pd.isna(t) else t for t in frame["text"]], end)
+            part = range_positions(frame["key"], bounds).to_numpy()
+            yield pd.DataFrame({
+                "part": np.where(frame["absent"], parts - 1, part).astype("int32"), "absent": frame["absent"].to_numpy(), "key": frame["key"].to_numpy(),
+                "tie": frame["tie"].to_numpy(), "ids": [narrow(row) for row in ids],
+            })
+
+    encoded = rows.mapInPandas(encode, "part int, absent boolean, key long, tie long, ids binary")
+    ordered = encoded.repartition(parts, "part").sortWithinPartitions("part", "absent", "key", "tie", "ids")
+
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        library, part, seq, keys, rows, size = words(tokenizer), None, 0, [], [], 0
+        part, seq, keys, rows, size = None, 0, [], [], 0
 
         def block():
             return pd.DataFrame({
                 "part": [part], "seq": [seq], "n_tokens": [size],
-                "keys": [keys], "lengths": [[len(r) for r in rows]],
-                "ids": [np.concatenate(rows).astype("<u4").tobytes()],
+                "keys": [np.array([k or 0 for k in keys], "<i8").tobytes()],
+                "absent": [np.array([k is None for k in keys]).tobytes()],
+                "lengths": [[len(r) for r in rows]], "ids": [narrow(np.concatenate(rows))],
             })
 
-        for frame in _batches(frames):
-            ids = library.encode([None if pd.isna(t) else t for t in frame["text"]], end)
-            for p, k, row in zip(frame["part"], frame["key"], ids, strict=True):
+        for frame in frames:
+            for p, absent, k, data in zip(*(frame[c] for c in ("part", "absent", "key", "ids")), strict=True):
+                row = widened(data)
                 if rows and (p != part or size + len(row) > BLOCK_TOKENS):
                     yield block()
                     seq = seq + 1 if p == part else 0
                     keys, rows, size = [], [], 0
                 if p != part:
                     part, seq = p, 0
-                keys.append(_key(k))
+                keys.append(None if absent else int(k))
                 rows.append(row)
                 size += len(row)
         if rows:
             yield block()
 
     return ordered.mapInPandas(
-        cut, "part int, seq int, n_tokens long, keys array<long>, lengths array<int>, ids binary"
+        cut, "part int, seq int, n_tokens long, keys binary, absent binary, lengths array<int>, ids binary"
     )
 
 
+def narrow(ids: np.ndarray) -> bytes:
+    """Ids on their way between tasks: two bytes each if all of them fit, else four; the first byte
+    tells which."""
+    two = not len(ids) or int(ids.max()) < 1 << 16
+    return (b"\2" if two else b"\4") + ids.astype("<u2" if two else "<u4").tobytes()
+
+
+def widened(data: bytes) -> np.ndarray:
+    """The ids that `narrow` wrote."""
+    return np.frombuffer(data, "<u2" if data[0] == 2 else "<u4", offset=1).astype("<u4")
+
+
 def frequencies(blocks: DataFrame) -> DataFrame:
     """How often each id occurs: counted per task, then summed."""
 
@@ -309,7 +330,7 @@ def frequencies(blocks: DataFrame) -> DataFrame:
         total = np.zeros(0, np.int64)
         for frame in frames:
             for data in frame["ids"]:
-                found = np.bincount(np.frombuffer(data, "<u4"), minlength=len(total))
+                found = np.bincount(widened(data), minlength=len(total))
                 found[:len(total)] += total
                 total = found
         symbols = np.flatnonzero(total)
@@ -325,7 +346,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end: int, key: str = "doc_
     """Tokenize and write the files below `path`. Two passes: ids and their counts, then coding.
     The table has one row per id of the vocabulary; that is its bound on the driver."""
     spark = docs.sparkSession
-    fresh = tokenized(docs, tokenizer, end, key)
+    fresh = tokenized(docs, ship_file(spark, tokenizer), end, key)
     staged = new_path(spark, "token-blocks")
     # ids repeat in frequency rather than in runs, which this codec's entropy coding uses
     fresh.write.option("compression", "zstd").parquet(staged)
@@ -345,9 +366,10 @@ def write(docs: DataFrame, path: str, tokenizer: str, end: int, key: str = "doc_
         shared = Table(symbols, scaled)
         for frame in frames:
             for row in frame.itertuples():
-                ids = np.frombuffer(row.ids, "<u4")
+                ids = widened(row.ids)
                 documents = np.split(ids, np.cumsum(row.lengths)[:-1])
-                keys = [_key(k) for k in row.keys]
+                absent = np.frombuffer(row.absent, bool)
+                keys = [None if a else k for k, a in zip(np.frombuffer(row.keys, "<i8").tolist(), absent)]
                 yield pd.DataFrame({
                     "part": [row.part], "seq": [row.seq], "n_tokens": [row.n_tokens],
                     "block": [encode_block(keys, documents, shared)],

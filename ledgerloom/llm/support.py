@@ -12,6 +12,7 @@ from pathlib import Path
 
 import numpy as np
 import pandas as pd
+from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,22 +74,33 @@ def range_bounds(df: DataFrame, key: str, descending: bool = False, parts: int |
 
 def range_of(key: Column, bounds: list, descending: bool = False) -> Column:
     """The position of the range that a key belongs to; a null key belongs to the last one."""
-    edges = sorted(bounds)
+    return F.pandas_udf(lambda keys: range_positions(keys, bounds, descending), "int")(key)
+
 
-    @F.pandas_udf("int")
-    def place(keys: pd.Series) -> pd.Series:
-        last = max(len(edges) - 1, 0)
-        found = np.full(len(keys), last)
-        known = keys.notna().to_numpy()
-        if known.any() and edges:
-            values = keys[known].to_numpy().astype(np.asarray(edges).dtype)
-            if descending:
-                found[known] = len(edges) - 1 - (np.searchsorted(edges, values, side="left"))
-            else:
-                found[known] = np.searchsorted(edges, values, side="right") - 1
-        return pd.Series(np.clip(found, 0, last).astype("int32"))
-
-    return place(key)
+def range_positions(keys: pd.Series, bounds: list, descending: bool = False) -> pd.Series:
+    """The same on a column that is at hand."""
+    edges = sorted(bounds)
+    last = max(len(edges) - 1, 0)
+    found = np.full(len(keys), last)
+    known = keys.notna().to_numpy()
+    if known.any() and edges:
+        values = keys[known].to_numpy().astype(np.asarray(edges).dtype)
+        if descending:
+            found[known] = len(edges) - 1 - (np.searchsorted(edges, values, side="left"))
+        else:
+            found[known] = np.searchsorted(edges, values, side="right") - 1
+    return pd.Series(np.clip(found, 0, last).astype("int32"))
+
+
+def ship_file(spark: SparkSession, path: str) -> str:
+    """Hand a driver's file to all executors; `shipped` finds it there by the name returned."""
+    spark.sparkContext.addFile(path)
+    return os.path.basename(path)
+
+
+def shipped(name: str) -> str:
+    """Where a file that `ship_file` handed out lies on this machine. A path stays as it is."""
+    return name if os.path.isabs(name) else SparkFiles.get(name)
 
 
 def ship(spark: SparkSession) -> None:

@@ -94,11 +94,10 @@ def test_rans_block_round_trip(size):
 
 def test_words_equal_the_tokenizer():
     tokenizer = Tokenizer.from_file(WORDS)
-    tokenizer.encode_special_tokens = True
     words = rans_store.Words(WORDS)
     random.seed(3)
     signs = ["a", "B", "é", "É", "ß", " ", "  ", "\n", "\t", "'s", "'", "9", ".", ",", "!", "\x1c",
-             " ", "İ", "Σ", "<|endoftext|>", "漢", "\r", "it's", "ﬁ", "-", "×", "́", "ª", "µ"]
+             " ", "İ", "Σ", "<|endoftext|>", "<|ENDOFTEXT|>", "<|startoftext|>", "<|", "|>", "漢", "\r", "it's", "ﬁ", "-", "×", "́", "ª", "µ"]
     for _ in range(1_000):
         text = "".join(random.choice(signs) for _ in range(random.randint(0, 25)))
         wanted = [*tokenizer.encode(text, add_special_tokens=False).ids, 2]
@@ -117,13 +116,28 @@ def test_token_files(spark, odd):
         start += len(ids)
 
 
+def test_ids_travel_whole():
+    for ids in ([], [0, 65_535], [65_536, 3]):
+        assert rans_store.widened(rans_store.narrow(np.array(ids, "<u4"))).tolist() == ids
+
+
+def test_large_keys_beside_null_ones(spark):
+    keys = [2 ** 53 + 1, 2 ** 53 + 2, None, -(2 ** 62) - 1]
+    docs = spark.createDataFrame([(k, f"text {i}") for i, k in enumerate(keys)], "doc_id long, text string")
+    path = new_path(spark, "files")
+    rans_store.write(docs, path, WORDS, 2)
+    got = [r["doc_id"] for r in rans_store.read(spark, path).orderBy("start").collect()]
+    assert got == [keys[3], keys[0], keys[1], None]
+
+
 def test_token_files_of_an_empty_table(spark, odd):
     assert rans_store.round_trip(odd.limit(0), WORDS, 2).count() == 0
 
 
 def test_token_file_query(spark):
     docs = table(spark, SF, "documents").select("doc_id", "text").toPandas().sort_values("doc_id")
-    ids = rans_store.Words(WORDS).encode(list(docs["text"]), 2)
+    found = Tokenizer.from_file(WORDS).encode_batch([t or "" for t in docs["text"]], add_special_tokens=False)
+    ids = [np.array([*e.ids, 2], "<u4") for e in found]
     got = queries.QUERIES["op2_rans_token_files"](spark, SF).toPandas().sort_values("doc_id")
     assert got["ids_crc32"].tolist() == [zlib.crc32(i.tobytes()) for i in ids]
     assert got["start"].tolist() == [0, *np.cumsum([len(i) for i in ids])[:-1].tolist()]
