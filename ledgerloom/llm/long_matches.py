@@ -43,18 +43,18 @@ ANCHOR = 24
 #: A null doc_id is ordered as this one.
 LAST_ID = 2 ** 63 - 1
 _PLACE = np.uint64((1 << 24) - 1)
-_PIECE = 1 << 23  # windows of a text that are anchored at a time
+_PIECE = 1 << 20  # bytes that are anchored at a time; some arrays of them need eight times that
 
 
 @dataclass(frozen=True)
 class Sizes:
-    """Bytes of text that a task cuts at a time, of stretches in a bucket, in one index, and the
-    most a bucket may hold in memory; ranges that wait, and crowded stretches in one row."""
+    """Bytes of text that a task cuts at a time, of stretches in a bucket, of one anchor in an index
+    (half of that for several), and the most a bucket may hold in memory; ranges that wait, and crowded stretches in one row."""
 
-    cut: int = 16 << 20
-    bucket: int = 32 << 20
+    cut: int = 8 << 20
+    bucket: int = 16 << 20
     index: int = 2_000_000
-    hold: int = 128 << 20
+    hold: int = 64 << 20
     ranges: int = 500_000
     slice: int = 500
 
@@ -75,7 +75,7 @@ def stretches(texts: list[bytes], length: int = LENGTH) -> Iterator[tuple[np.nda
         for low in range(0, max(len(data) - length + 1, 0), _PIECE):
             held.append((number, low, data[low:low + _PIECE + length - 1]))
             weight += len(held[-1][2])
-            if weight >= _PIECE // 2:
+            if weight >= _PIECE:
                 yield _stretches(held, length)
                 held, weight = [], 0
     if held:
@@ -286,7 +286,7 @@ def match(frames: Iterator[pd.DataFrame], length: int, groups: int, sizes: Sizes
             if size > sizes.index:
                 yield from packed(first.take(slice(low, low + count)))
                 continue
-            if batch and total + size > sizes.index:
+            if batch and total + size > sizes.index // 2:
                 compare(first, batch)
                 batch, total = [], 0
             batch.append(np.arange(low, low + count))
