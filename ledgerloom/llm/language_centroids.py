@@ -45,11 +45,15 @@ class LanguageModel:
     idf: np.ndarray
 
 
+#: All of them: letters stand beyond the first 65,536 too.
+CODE_POINTS = 0x110000
+
+
 def ngram_counts(text: str, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashed n-grams of the lower-cased letters and their counts. White space, digits and signs
     are one separator; n-grams of separators alone do not count."""
     codes = np.frombuffer(text.lower().encode("utf-32-le", "replace"), dtype="<u4")
-    codes = np.where(letters[np.minimum(codes, 0xFFFF)], codes, 32).astype(np.uint32)
+    codes = np.where(letters[codes], codes, 32).astype(np.uint32)
     word = codes != 32
     if not word.any():
         return np.empty(0, np.int64), np.empty(0)
@@ -75,7 +79,7 @@ def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
     """In how many texts each hashed n-gram stands. One row per slot reaches the driver."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        letters, total, rows = letter_table(), np.zeros(DIMENSIONS, np.int64), 0
+        letters, total, rows = letter_table(CODE_POINTS), np.zeros(DIMENSIONS, np.int64), 0
         for batch in batches:
             for text in batch["text"]:
                 found, _ = ngram_counts(text, letters)
@@ -125,7 +129,7 @@ def fit(training: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE,
     idf = np.log((1 + size) / (1 + frequencies)) + 0.1
 
     def cluster(group: pd.DataFrame) -> pd.DataFrame:
-        letters, vectors = letter_table(), []
+        letters, vectors = letter_table(CODE_POINTS), []
         for text in sorted(group["text"]):
             found, counts = ngram_counts(text, letters)
             if len(found):
@@ -194,7 +198,7 @@ def language(text: Column, model: LanguageModel) -> Column:
 
     @F.pandas_udf("lang string, score double, rejected boolean")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        letters = letter_table()
+        letters = letter_table(CODE_POINTS)
         for texts in batches:
             yield pd.DataFrame(
                 [classify(t, shared, letters) for t in texts],

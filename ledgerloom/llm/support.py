@@ -46,9 +46,10 @@ def fold(key: Column, folds: int) -> Column:
     return F.coalesce(F.crc32(key.cast("string")) % folds, F.lit(0))
 
 
-def letter_table():
-    """For each code point below 65,536, whether it is a letter. A rule, not a stored table."""
-    return np.fromiter((chr(i).isalpha() for i in range(1 << 16)), dtype=bool, count=1 << 16)
+@lru_cache(maxsize=2)
+def letter_table(size: int = 1 << 16):
+    """For each code point below `size`, whether it is a letter. A rule, not a stored table."""
+    return np.fromiter((chr(i).isalpha() for i in range(size)), dtype=bool, count=size)
 
 
 @lru_cache(maxsize=4)

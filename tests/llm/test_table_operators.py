@@ -365,3 +365,13 @@ def test_many_domains_share_one(spark, monkeypatch):
     with pytest.raises(ValueError, match="one fit takes"):
         soft_mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), "source",
                         {f"s{i}": 1.0 for i in range(6)})
+
+
+def test_pipeline_keeps_every_text_of_a_kept_key(spark):
+    words = [" ".join(f"{c}{i}" for i in range(30)) for c in "abc"]
+    rows = [(1, words[0]), (1, words[1]), (1, words[1]), (2, words[0] + " tail"), (3, words[2]), (None, "x")]
+    docs = spark.createDataFrame([(k, t, "k") for k, t in rows], "doc_id long, text string, digest string")
+    got = corpus_pipeline.near_duplicates(spark, docs, SF)
+    assert got.columns == docs.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=repr) == sorted(
+        [(1, words[0]), (1, words[1]), (3, words[2]), (None, "x")], key=repr)

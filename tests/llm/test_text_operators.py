@@ -268,3 +268,10 @@ def test_fingerprints_against_brute_force(spark, rows):
             multiset_hash.likeness(mine, multiset_hash.fingerprint(following)),
         ))
     assert got == sorted(wanted, key=repr)
+
+
+def test_letters_beyond_the_first_plane_count():
+    letters = language_centroids.letter_table(language_centroids.CODE_POINTS)
+    found, counts = language_centroids.ngram_counts("\U00020000\U00020001", letters)
+    assert len(found) and counts.sum() >= 4
+    assert len(language_centroids.ngram_counts("\U0001F600 12 .", letters)[0]) == 0
