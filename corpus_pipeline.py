@@ -5,7 +5,8 @@ Parquet and read again for the next one. All but the last return the columns of
 
 - language: documents whose text is near no learned language (or has no letter) go.
 - toxicity: documents with a score of 0.5 or more go.
-- near_duplicates: the document with the least doc_id of each group of near copies stays, once.
+- near_duplicates: the document with the least doc_id of each group of near copies stays, once; if
+  one doc_id has several texts, each of them stays.
 - mixing: each document is repeated or left out as its fitted rate says.
 - token_ids: doc_id, number of ids, the ids (little-endian unsigned 32-bit integers) and the digest
   of the bytes decoded from them.
@@ -46,9 +47,10 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
     kept = chosen_path.near_duplicates(docs).where("kept and doc_id is not null")
+    digest = unused(docs.columns, "digest")
     known = docs.where("doc_id is not null").join(
         kept.select("doc_id").distinct(), "doc_id", "left_semi"
-    ).dropDuplicates(["doc_id"])
+    ).withColumn(digest, F.xxhash64("text")).dropDuplicates(["doc_id", digest])
     return known.select(*docs.columns).union(docs.where("doc_id is null"))
 
 
