@@ -10,7 +10,7 @@ import logging
 import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
@@ -18,6 +18,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQue
 from ledgerloom import rules, schemas
 from ledgerloom.plans.reports import write_document
 from ledgerloom.session import new_path
+from ledgerloom.streaming import ledger
 
 log = logging.getLogger(__name__)
 
@@ -28,6 +29,8 @@ EVENTS_TOPIC = "project.events"
 ESCALATIONS_TOPIC = "escalations.critical"
 PROGRESS_EVERY = 100
 CRITICAL = "Critical"
+#: The column with the text of what is no JSON.
+MALFORMED = "_malformed"
 
 
 # --- sources ----------------------------------------------------------------------------------
@@ -44,17 +47,26 @@ def kafka_messages(spark: SparkSession, servers: str, topic: str = EVENTS_TOPIC)
     return decode(raw)
 
 
-def decode(raw: DataFrame) -> DataFrame:
-    """Parse the JSON value of key/value rows."""
-    return raw.select(F.from_json(F.col("value").cast("string"), MESSAGE).alias("m")).select("m.*")
+def decode(raw: DataFrame, malformed: str | None = None) -> DataFrame:
+    """Parse the JSON value of key/value rows; `malformed` adds the text of those that are no JSON."""
+    broken = malformed or MALFORMED
+    options = {"columnNameOfCorruptRecord": broken}
+    schema = T.StructType([*MESSAGE.fields, T.StructField(broken, T.StringType())])
+    parsed = raw.select(F.from_json(F.col("value").cast("string"), schema, options).alias("m")).select("m.*")
+    return parsed if malformed else parsed.drop(broken)
 
 
 def file_events(
     spark: SparkSession, path: str, schema: T.StructType = schemas.EVENTS, format: str = "json",
-    files_per_trigger: int = 100,
+    files_per_trigger: int = 100, malformed: str | None = None,
 ) -> DataFrame:
-    """Files of a folder as an event feed; `path` may be a glob. Blank JSON lines are skipped."""
+    """Files of a folder as an event feed; `path` may be a glob. Blank JSON lines are skipped;
+    `malformed` adds the text of lines that are no JSON."""
+    if malformed:
+        schema = T.StructType([*schema.fields, T.StructField(malformed, T.StringType())])
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
+    if malformed:
+        reader = reader.option("columnNameOfCorruptRecord", malformed)
     if format == "json":
         reader = reader.option("mode", "PERMISSIVE").option(
             "timestampFormat", "yyyy-MM-dd'T'HH:mm:ssX"
@@ -69,26 +81,35 @@ def first_events(events: DataFrame, limit: int | None) -> DataFrame:
 
 # --- messages ---------------------------------------------------------------------------------
 
-def to_messages(events: DataFrame) -> DataFrame:
-    """key = event type, value = the event as JSON with the time it was published."""
+def to_messages(events: DataFrame, *beside: str) -> DataFrame:
+    """key = event type, value = the event as JSON with the time it was published; with `beside`,
+    columns of the event too."""
     # Fixed value: ISO-8601 with microseconds and offset.
     stamped = events.withColumn(
         "produced_at",
         F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"),
     )
-    return as_messages(stamped)
+    return as_messages(stamped, *beside)
 
 
-def as_messages(events: DataFrame) -> DataFrame:
-    """Key and value of events that already carry their publishing time."""
+def as_messages(events: DataFrame, *beside: str) -> DataFrame:
+    """Key and value of events that already carry their publishing time, and columns beside them."""
     options = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ssX"}
     value = F.to_json(F.struct(*[F.col(c) for c in events.columns]), options)
-    return events.select(F.col("event_type").alias("key"), value.alias("value"))
+    return events.select(F.col("event_type").alias("key"), value.alias("value"), *beside)
+
+
+def is_malformed(events: DataFrame) -> Column:
+    """Rows that are no JSON, if the feed tells (`{}` is an event of unknown type), else rows in
+    which nothing could be parsed."""
+    if MALFORMED in events.columns:
+        return F.col(MALFORMED).isNotNull()
+    return ~F.exists(F.array(*[F.col(c).isNotNull() for c in events.columns]), lambda known: known)
 
 
 def not_malformed(events: DataFrame) -> DataFrame:
     """Drop rows in which nothing could be parsed."""
-    return events.dropna(how="all")
+    return events.where(~is_malformed(events)).drop(MALFORMED)
 
 
 def count_by_type(events: DataFrame) -> DataFrame:
@@ -97,11 +118,14 @@ def count_by_type(events: DataFrame) -> DataFrame:
     return events.groupBy(kind.alias("event_type")).agg(F.count("*").alias("messages"))
 
 
+def is_critical() -> Column:
+    raised = (F.col("event_type") == rules.RAISED) & (F.col("payload")["severity"] == CRITICAL)
+    return F.coalesce(raised, F.lit(False))
+
+
 def critical_escalations(events: DataFrame) -> DataFrame:
     """Raised escalations of critical severity, unchanged."""
-    return events.filter(
-        (F.col("event_type") == rules.RAISED) & (F.col("payload")["severity"] == CRITICAL)
-    )
+    return events.filter(is_critical())
 
 
 # --- sinks ------------------------------------------------------------------------------------
@@ -181,63 +205,56 @@ def route_critical(events: DataFrame, sink: Sink, **options) -> StreamingQuery:
     return run(as_messages(critical_escalations(events)), sink, name="route", **options)
 
 
-def forwarded_to_snapshot(events: DataFrame, path: str, **options) -> StreamingQuery:
-    """How many messages are critical, over all batches and runs since the first."""
-    rows = critical_escalations(events).agg(F.count("*").alias("rows"))
-    return run(rows, snapshot_sink(path), mode="complete", name="forwarded", **options)
+def totals(events: DataFrame, path: str, **options) -> StreamingQuery:
+    """Keep running totals of the feed below `path`, one batch after the other (see `ledger`)."""
+    sink = ledger.totals_sink(path, is_malformed(events), is_critical())
+    return run(events, sink, name="totals", **options)
 
 
-def throughput(query: StreamingQuery) -> tuple[float, float]:
-    """Rows per second and seconds of the recent batches; idle waits are not batches."""
-    seconds = sum(p.batchDuration for p in query.recentProgress) / 1000
-    rows = sum(p.numInputRows for p in query.recentProgress)
-    return rows / max(seconds, 1e-9), seconds
+def publish_in_order(events: DataFrame, path: str, state: str, **options) -> StreamingQuery:
+    """Publish to files with a number per key that ascends with time, over all batches and runs."""
+    stamped = to_messages(events, "timestamp", "event_id")
+    sink = ledger.sequence_sink(path, state, ["timestamp", "event_id"])
+    return run(stamped, sink, name="publish-in-order", **options)
 
 
-def stream_summary(
-    counts: dict[str, int], forwarded: int, query: StreamingQuery, run_at: str
-) -> dict:
-    """Totals of one run of the counting query."""
-    rate, seconds = throughput(query)
+def stream_summary(whole: Row, counts: dict[str, int], run_at: str) -> dict:
+    """Totals of all batches so far."""
     return {
         "run_at": run_at,
         "topic": EVENTS_TOPIC,
-        "total_messages_consumed": sum(counts.values()),
+        "total_messages_consumed": whole["messages"],
         "event_counts": dict(sorted(counts.items())),
-        "critical_escalations_forwarded": forwarded,
+        "critical_escalations_forwarded": whole["forwarded"],
         "forwarded_to_topic": ESCALATIONS_TOPIC,
-        "throughput_messages_per_second": round(rate, 2) if counts else 0.0,
-        "elapsed_seconds": round(seconds, 2),
+        "malformed_messages": whole["malformed"],
+        "late_messages": whole["late"],
+        "throughput_messages_per_second": round(whole["messages_per_second"], 2),
+        "elapsed_seconds": round(whole["seconds"], 2),
     }
 
 
 COUNTS = T.StructType([
     T.StructField("event_type", T.StringType()), T.StructField("messages", T.LongType()),
 ])
-
-FORWARDED = T.StructType([T.StructField("rows", T.LongType())])
+#: Event types that a summary names; all of them are in the ledger.
+NAMED_TYPES = 1000
 
 
 def consume(events: DataFrame, folder: str, forward: Sink, run_at: str) -> dict:
-    """Count all messages, forward the critical ones, write the summary of the run.
+    """Count all messages, forward the critical ones, write the summary of all runs so far.
 
-    All queries keep their offsets below `folder`, so a later run takes up new messages only.
-    Collects one row per event type.
+    Both queries keep their offsets below `folder`, so a later run takes up new messages only.
+    The summary names at most NAMED_TYPES event types, those with the most messages.
     """
     spark = events.sparkSession
-    counted = count_to_snapshot(
-        events, f"{folder}/counts", checkpoint=f"{folder}/offsets/counts"
-    )
-    route_critical(events, forward, checkpoint=f"{folder}/offsets/route")
-    forwarded_to_snapshot(
-        events, f"{folder}/forwarded", checkpoint=f"{folder}/offsets/forwarded"
-    )
-    counts = {
-        r["event_type"]: r["messages"]
-        for r in read_snapshot(spark, f"{folder}/counts", COUNTS).collect()
-    }
-    forwarded = sum(r["rows"] for r in read_snapshot(spark, f"{folder}/forwarded", FORWARDED).collect())
-    summary = stream_summary(counts, forwarded, counted, run_at)
+    totals(events, f"{folder}/totals", checkpoint=f"{folder}/offsets/totals")
+    route_critical(not_malformed(events), forward, checkpoint=f"{folder}/offsets/route")
+    by_type = ledger.newest(spark, f"{folder}/totals", ledger.TOTALS).where("event_type is not null")
+    largest = by_type.orderBy(F.desc("messages"), "event_type").limit(NAMED_TYPES).collect()
+    counts = {r["event_type"]: r["messages"] for r in largest}
+    whole = ledger.run_totals(spark, f"{folder}/totals").first()
+    summary = stream_summary(whole, counts, run_at)
     write_document(spark, summary, f"{folder}/summary")
     return summary
 

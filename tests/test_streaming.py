@@ -7,7 +7,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.streaming import feed, live
+from ledgerloom.streaming import feed, ledger, live
 
 COUNTS = feed.COUNTS
 
@@ -112,3 +112,70 @@ def test_live_volume_and_enrichment(spark, folder, tmp_path):
     feed.run(live.enrich_live(stream(spark, folder), projects), feed.file_sink(out), name="named")
     named = spark.read.schema("event_id string, project_name string").parquet(out)
     assert named.filter(F.col("project_name") == "One").count() == 2
+
+
+class _Writer:
+    """Stands in for a stream's writer and hands out its batch function."""
+
+    def foreachBatch(self, function):
+        self.function = function
+        return self
+
+    def start(self):
+        return self.function
+
+
+def test_totals_count_every_row_once_over_many_batches_and_a_replay(spark, tmp_path):
+    schema = "event_id string, event_type string, timestamp timestamp, payload map<string,string>, _malformed string"
+    path = str(tmp_path / "totals")
+    empty = spark.createDataFrame([], schema)
+    write = ledger.totals_sink(path, feed.is_malformed(empty), feed.is_critical(), "1 hour")(_Writer())
+    for batch in range(8):
+        rows_ = [(f"{batch}-{i}", "login" if i else None, f"2025-01-{batch + 1:02d} 0{i}:00:00", None, None)
+                 for i in range(3)]
+        rows_.append((f"{batch}-c", "escalation_raised", f"2025-01-{batch + 1:02d} 01:00:00", {"severity": "Critical"}, None))
+        rows_ += [(None, None, None, None, "{oops")] * (batch % 2)
+        rows_ += [(f"{batch}-l", "login", "2025-01-01 00:00:00", None, None)] * (batch > 0)
+        frame = spark.createDataFrame(
+            [(*r[:2], None, *r[3:]) for r in rows_], schema
+        ).drop("timestamp").join(spark.createDataFrame(
+            [(r[0], r[2]) for r in rows_], "event_id string, t string").dropDuplicates(["event_id"]), "event_id", "left"
+        ).withColumn("timestamp", F.to_timestamp("t")).drop("t")
+        write(frame, batch)
+        if batch in (3, 7):
+            write(frame, batch)  # the same batch again, as after a restart
+    whole = ledger.run_totals(spark, path).first()
+    assert (whole["batches"], whole["messages"], whole["forwarded"], whole["malformed"], whole["late"]) == (
+        8, 8 * 4 + 7, 8, 4, 7)
+    assert whole["seconds"] > 0 and whole["messages_per_second"] > 0
+    assert ledger._batch_ids(spark, path) == [6, 7]
+
+
+def test_empty_objects_are_of_unknown_type_and_broken_lines_are_counted(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.jsonl").write_text('{}\n{"event_type": "login"\n{"event_type": "login"}\n\n')
+    events = feed.file_events(spark, str(tmp_path / "in"), malformed=feed.MALFORMED)
+    summary = feed.consume(events, str(tmp_path / "run"), feed.file_sink(str(tmp_path / "critical")), "now")
+    assert summary["event_counts"] == {"login": 1, "unknown": 1} and summary["malformed_messages"] == 1
+
+
+def test_publishing_keeps_the_order_of_each_key_over_runs(spark, folder, tmp_path):
+    out, state, offsets = (str(tmp_path / n) for n in ("topic", "state", "offsets"))
+    for run in range(2):
+        if run:
+            more = [{**samples.EVENTS[i % 3], "event_id": f"x{i}", "timestamp": f"2025-03-0{1 + i % 9}T08:00:00Z"}
+                    for i in range(20)]
+            (tmp_path / "events" / "events_2025_03.jsonl").write_text("".join(json.dumps(m) + "\n" for m in more))
+        events = feed.not_malformed(stream(spark, folder, files_per_trigger=1))
+        feed.publish_in_order(events, out, state, checkpoint=offsets)
+    sent = spark.read.schema("key string, value string, sequence long, batch_id long").parquet(out)
+    by_key = {}
+    for r in sent.orderBy("key", "sequence").collect():
+        by_key.setdefault(r["key"], []).append((r["sequence"], r["batch_id"], json.loads(r["value"])["timestamp"]))
+    assert sum(map(len, by_key.values())) == 26
+    for places in by_key.values():
+        assert [n for n, *_ in places] == list(range(1, len(places) + 1))
+        assert [b for _, b, _ in places] == sorted(b for _, b, _ in places)
+        for batch in {b for _, b, _ in places}:
+            times = [t for _, b, t in places if b == batch]
+            assert times == sorted(times)
