@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -17,9 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom import rules
-from ledgerloom.session import stage
 from ledgerloom.functions import dates, numbers
-from ledgerloom.operators.keyed import dangling, duplicate_rows
+from ledgerloom.session import stage
 
 MEASUREMENT = [
     "dataset", "check", "column_name", "metric", "value", "failed", "note",
@@ -177,41 +176,82 @@ def _rows(dataset, check, column_name, metric, value, failed, note=None) -> list
     ]
 
 
-def _uniqueness(df, dataset, spec, references) -> list[DataFrame]:
+@dataclass(frozen=True)
+class Shared:
+    """What the grouped checks of one table read instead of the table: `counts` has the rows per
+    (column_name, value) of all columns that need it, `moments` mean and deviation by column."""
+
+    counts: DataFrame
+    moments: Mapping[str, tuple[float, float]]
+
+    def of(self, column: str) -> DataFrame:
+        return self.counts.where(F.col("column_name") == column)
+
+
+def _key_name(keys: Sequence[str]) -> str:
+    return ";".join(keys)
+
+
+def _counted_columns(df: DataFrame, spec: Mapping, names: Sequence[str]) -> dict[str, Column]:
+    """The columns, as text, whose values are counted. A key of several columns is one JSON text."""
+    wanted: dict[str, Column] = {}
+    if "uniqueness" in names and spec.get("pk_columns"):
+        keys = spec["pk_columns"]
+        wanted[_key_name(keys)] = F.to_json(F.struct(*keys)) if len(keys) > 1 else F.col(keys[0])
+    if "referential_integrity" in names:
+        wanted |= {c: F.col(c) for c in spec.get("foreign_keys", {}) if c in df.columns}
+    rule = spec.get("distribution_max_share")
+    if "distribution" in names and rule:
+        wanted |= {c: F.col(c) for c in rule["columns"] if c in df.columns}
+    return wanted
+
+
+def _value_counts(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
+    """Staged rows per (column_name, value), null values included: one pass for all columns, in
+    which each task counts what it reads before anything is shuffled."""
+    if not columns:
+        return df.sparkSession.createDataFrame([], "column_name string, value string, n long")
+    melted = df.select(F.inline(F.array(*[
+        F.struct(F.lit(name).alias("column_name"), value.cast("string").alias("value"))
+        for name, value in columns.items()
+    ])))
+    return stage(melted.groupBy("column_name", "value").agg(F.count("*").alias("n")), "value-counts")
+
+
+def _uniqueness(df, dataset, spec, references, shared) -> list[DataFrame]:
     keys = spec.get("pk_columns")
     if not keys:
         return []
-    counted = duplicate_rows(df, keys)
-    n = F.col("duplicates")
+    counted = shared.of(_key_name(keys)).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.count("*").alias("unique_rows"))
+    n = F.col("rows") - F.col("unique_rows")
     note = F.concat_ws("/", F.col("unique_rows").cast("string"), F.col("rows").cast("string"))
     return [counted.select(
-        *_rows(dataset, "uniqueness", ";".join(keys), "duplicates", n, n > 0, note)
+        *_rows(dataset, "uniqueness", _key_name(keys), "duplicates", n, n > 0, note)
     )]
 
 
-def _referential(df, dataset, spec, references) -> list[DataFrame]:
+def _referential(df, dataset, spec, references, shared) -> list[DataFrame]:
     parts = []
     for c, (table, ref_key) in spec.get("foreign_keys", {}).items():
         if c in df.columns and references.get(table) is not None:
-            n = F.coalesce(F.sum("rows"), F.lit(0))
-            parts.append(dangling(df, c, references[table], ref_key).agg(n.alias("n")).select(
+            known = references[table].select(F.col(ref_key).cast("string").alias("value")).distinct()
+            missing = shared.of(c).where("value is not null").join(known, "value", "left_anti")
+            n = F.coalesce(F.sum("n"), F.lit(0))
+            parts.append(missing.agg(n.alias("n")).select(
                 *_rows(dataset, "referential_integrity", c, "orphans", F.col("n"), F.col("n") > 0,
                        F.lit(f"{table}.{ref_key}"))
             ))
     return parts
 
 
-def _distribution(df, dataset, spec, references) -> list[DataFrame]:
-    """Largest share per column; the values of all columns are counted in one pass."""
+def _distribution(df, dataset, spec, references, shared) -> list[DataFrame]:
+    """Largest share per column."""
     rule = spec.get("distribution_max_share")
     columns = [c for c in rule["columns"] if c in df.columns] if rule else []
     if not columns:
         return []
-    values = df.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
-        for c in columns
-    ]))).filter("value is not null")
-    counted = values.groupBy("column_name", "value").agg(F.count("*").alias("n"))
+    counted = shared.counts.where(F.col("column_name").isin(columns) & F.col("value").isNotNull())
     top = counted.groupBy("column_name").agg(
         (F.max("n") / F.sum("n")).alias("share"),
         F.max_by("value", F.struct("n", "value")).alias("top"),
@@ -224,29 +264,29 @@ def _distribution(df, dataset, spec, references) -> list[DataFrame]:
     return [top.select(*named)]
 
 
-def _outliers(df, dataset, spec, references) -> list[DataFrame]:
-    """Mean and deviation of all columns in one pass, their outliers in a second one."""
+def _outlier_columns(df: DataFrame, spec: Mapping) -> list[str]:
     rule = spec.get("outlier_zscore")
-    columns = [c for c in rule["columns"] if c in df.columns] if rule else []
+    return [c for c in rule["columns"] if c in df.columns] if rule else []
+
+
+def _outliers(df, dataset, spec, references, shared) -> list[DataFrame]:
+    """Outliers of all columns in one pass; mean and deviation come from the pass of the measures."""
+    columns = _outlier_columns(df, spec)
     if not columns:
         return []
-    numeric = df.select(*[numbers.to_number(F.col(c)).alias(c) for c in columns])
-    moments = numeric.agg(F.struct(*[
-        F.struct(F.avg(c).alias("mean"), F.stddev_pop(c).alias("deviation")).alias(c)
-        for c in columns
-    ])).scalar()
     counts = []
     for c in columns:
-        deviation = moments[c]["deviation"]
-        score = F.abs(F.col(c) - moments[c]["mean"]) / F.when(deviation > 0, deviation)
-        counts.append(F.count_if(score > rule["threshold"]).alias(c))
-    counted = numeric.agg(*counts)
+        mean, deviation = shared.moments[c]
+        score = F.abs(numbers.to_number(F.col(c)) - F.lit(mean)) / F.lit(deviation or None)
+        counts.append(F.count_if(score > spec["outlier_zscore"]["threshold"]).alias(c))
+    counted = df.agg(*counts)
     return [counted.select(F.inline(F.array(*[
         F.struct(*_rows(dataset, "outliers", c, "beyond", F.col(c), F.col(c) > 0)) for c in columns
     ])))]
 
 
-# Checks that are plain aggregates share one pass over the table; the others group by values.
+# Checks that are plain aggregates share one pass over the table, those on values a second one;
+# outliers need a third, as they are judged by what the first one finds.
 # A new check is one more entry.
 PASS_CHECKS: dict[str, Callable[..., list[Measure]]] = {
     "completeness": _completeness,
@@ -280,16 +320,26 @@ def configured_checks(spec: Mapping) -> list[str]:
     ]
 
 
-def _one_pass(df: DataFrame, dataset: str, spec: Mapping, as_of: dt.date, names) -> list[DataFrame]:
+def _one_pass(df: DataFrame, dataset: str, spec: Mapping, as_of: dt.date, names):
+    """The rows of all plain measures, and mean and deviation of the columns checked for outliers."""
     measures = [m for n in names if n in PASS_CHECKS for m in PASS_CHECKS[n](df, spec, as_of)]
-    if not measures:
-        return []
+    judged = _outlier_columns(df, spec) if "outliers" in names else []
     aggregates = []
     for i, m in enumerate(measures):
         aggregates.append(m.value.alias(f"m{i}"))
         if m.note is not None:
             aggregates.append(m.note.alias(f"n{i}"))
+    for i, c in enumerate(judged):
+        number = numbers.to_number(F.col(c))
+        aggregates += [F.avg(number).alias(f"mean{i}"), F.stddev_pop(number).alias(f"deviation{i}")]
+    if not aggregates:
+        return [], {}
     one = df.agg(*aggregates)
+    moments = {}
+    if judged:
+        one = stage(one, "measures")
+        found = one.first()
+        moments = {c: (found[f"mean{i}"], found[f"deviation{i}"]) for i, c in enumerate(judged)}
     structs = [
         F.struct(*_rows(
             dataset, m.check, m.column_name, m.metric, F.col(f"m{i}"), m.failed(F.col(f"m{i}")),
@@ -297,7 +347,7 @@ def _one_pass(df: DataFrame, dataset: str, spec: Mapping, as_of: dt.date, names)
         ))
         for i, m in enumerate(measures)
     ]
-    return [one.select(F.inline(F.array(*structs)))]
+    return [one.select(F.inline(F.array(*structs)))] if structs else [], moments
 
 
 def run_checks(
@@ -309,14 +359,16 @@ def run_checks(
     as_of: dt.date,
     only: list[str] | None = None,
 ) -> DataFrame:
-    """All measurements of the checks configured for `dataset` (lazy)."""
+    """All measurements of the checks configured for `dataset`. The table is read once for the plain
+    measures, once for the counts per value, and once for outliers."""
     spec = (rules.QUALITY_RULES if config is None else config).get(dataset, {})
     known = {dataset: df, **(references or {})}
     names = [c for c in configured_checks(spec) if only is None or c in only]
-    parts = _one_pass(df, dataset, spec, as_of, names)
+    parts, moments = _one_pass(df, dataset, spec, as_of, names)
+    shared = Shared(_value_counts(df, _counted_columns(df, spec, names)), moments)
     for name in names:
         if name in GROUPED_CHECKS:
-            parts += GROUPED_CHECKS[name](df, dataset, spec, known)
+            parts += GROUPED_CHECKS[name](df, dataset, spec, known, shared)
     # One marker row per check, so that a check without findings still counts as run.
     markers = df.sparkSession.range(1).select(F.inline(F.array(*[
         F.struct(*_rows(dataset, n, "", "configured", F.lit(1), F.lit(False))) for n in names

@@ -418,6 +418,7 @@ def _datasets(spark, sf):
         "projects": v.projects(spark, sf),
         "employees": v.employees(spark, sf),
         "transactions": v.transactions(spark, sf),
+        "employees_salary_history": v.history(spark, sf).drop("row_seq"),
     }
 
 
