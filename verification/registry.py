@@ -13,8 +13,8 @@ from ledgerloom.functions import text
 from ledgerloom.operators import grouping, joins, keyed, profile, quality, quantile, sequence
 from ledgerloom.plans import cleaning, dashboard, events, jobs, policy, questions, scd2, star
 from ledgerloom.session import new_path, stage
-from ledgerloom.sources import writers
-from ledgerloom.streaming import feed, live
+from ledgerloom.sources import readers, writers
+from ledgerloom.streaming import feed, ledger, live
 from verification import views as v
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -145,6 +145,13 @@ def manager_workload(spark, sf):
     return questions.manager_workload(project_money(spark, sf), people(spark, sf), more_than=6)
 
 
+@query
+def manager_workload_of_current_versions(spark, sf):
+    """The same question over the version dimension."""
+    current = employee_versions(spark, sf).where("is_current")
+    return questions.manager_workload(project_money(spark, sf), current, more_than=6)
+
+
 @query
 def vendor_concentration(spark, sf):
     return questions.vendor_concentration(spend(spark, sf, "vendor_name"))
@@ -457,6 +464,20 @@ def scd2_validation(spark, sf):
     )
 
 
+@query
+def scd2_findings(spark, sf):
+    """The checks on a dimension with planted faults: people with several current versions or none,
+    versions that start a day late or a day early."""
+    person = F.col("employee_id")
+    days = F.when(person % 11 == 5, 1).when(person % 11 == 6, -1).otherwise(0)
+    broken = employee_versions(spark, sf).withColumns({
+        "is_current": F.when(person % 13 == 4, True).when(person % 7 == 3, False).otherwise(F.col("is_current")),
+        "valid_from": F.date_add("valid_from", days),
+    })
+    return scd2.validation(
+        stage(broken, "broken"), scd2.collapse_same_day(v.history(spark, sf)), people(spark, sf))
+
+
 @query
 def scd2_row_balance(spark, sf):
     return scd2.row_balance(
@@ -569,6 +590,58 @@ def surrogate_keys(spark, sf):
     return sequence.dense_key(orders, "order_key", ["o_custkey", "o_orderkey"])
 
 
+@query
+def star_constraints(spark, sf):
+    """Keys and references of the built facts, as a database would enforce them."""
+    dims = {
+        "dim_project": stage(project_keys(spark, sf), "dim-project"),
+        "dim_vendor": stage(star.dim_vendor(v.transactions(spark, sf)), "dim-vendor"),
+        "dim_employee": stage(employee_versions(spark, sf), "dim-employee"),
+    }
+    facts = stage(star.fact_transactions(
+        enriched(spark, sf), dims["dim_project"], dims["dim_vendor"], dims["dim_employee"]), "facts")
+    config = {"fact": {
+        "pk_columns": ["transaction_key"],
+        "foreign_keys": {
+            "project_key": ("dim_project", "project_key"), "vendor_key": ("dim_vendor", "vendor_key"),
+            "employee_key": ("dim_employee", "employee_key"),
+        },
+    }}
+    return counted(quality.run_checks(
+        facts, "fact", config=config, references=dims, as_of=v.AS_OF,
+        only=["uniqueness", "referential_integrity"]))
+
+
+# --- sources ----------------------------------------------------------------------------------
+
+@query
+def transactions_from_json(spark, sf):
+    """Transactions written as JSON and read again, cut into records by several tasks."""
+    path = new_path(spark, "json")
+    v.transactions(spark, sf).write.json(path)
+    return readers.read_transactions(spark, path).select(
+        "transaction_id", "project_id", "amount", "transaction_date", "category")
+
+
+@query
+def events_from_json_lines(spark, sf):
+    path = new_path(spark, "jsonl")
+    v.events(spark, sf).write.option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ssX").json(path)
+    return readers.read_events(spark, path).select(
+        "event_id", "event_type", "project_id", F.col("payload")["severity"].alias("severity"),
+        F.to_date("timestamp").alias("event_date"))
+
+
+@query
+def notes_through_csv(spark, sf):
+    """Documents as free-text cells with line breaks, quotes and delimiters, written and read again."""
+    path = new_path(spark, "notes")
+    docs = v.table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("id"), "text")
+    writers.write_csv(docs.repartition(2), path)
+    back = readers.read_csv(spark, path, docs.schema)
+    return back.select(F.col("id").cast("long").alias("doc_id"), F.md5("text").alias("digest"))
+
+
 # --- events -----------------------------------------------------------------------------------
 
 @query
@@ -652,6 +725,27 @@ def foundations_job(spark, sf):
     return jobs.metrics_table(spark, run)
 
 
+@query
+def full_etl_job(spark, sf):
+    """Raw CSV and JSON files in; clean, enriched and checked tables, reports and summaries out."""
+    folder = new_path(spark, "full-etl")
+    raw = {
+        "projects": v.projects(spark, sf),
+        "employees": v.employees(spark, sf).orderBy("row_seq").drop("row_seq"),
+        "history": v.history(spark, sf).orderBy("row_seq").drop("row_seq").withColumns({
+            "previous_role": F.lit(None).cast("string"),
+            "previous_level": F.lit(None).cast("string"),
+        }),
+    }
+    for name, df in raw.items():
+        writers.write_csv(df, f"{folder}/raw/{name}")
+    v.transactions(spark, sf).write.json(f"{folder}/raw/transactions")
+    inputs = jobs.Inputs(
+        f"{folder}/raw/projects", f"{folder}/raw/employees", f"{folder}/raw/history",
+        f"{folder}/raw/transactions")
+    return jobs.metrics_table(spark, jobs.full_etl(spark, inputs, f"{folder}/out", v.LIMITS))
+
+
 # --- dashboard --------------------------------------------------------------------------------
 
 @query
@@ -739,6 +833,24 @@ def stream_publish(spark, sf):
     )
 
 
+@query
+def stream_totals(spark, sf):
+    """The ledger of a run: messages, critical, late and malformed rows by type."""
+    path = new_path(spark, "totals")
+    feed.totals(_event_stream(spark, sf), path)
+    return ledger.newest(spark, path, ledger.TOTALS).where("event_type is not null").select(
+        "event_type", "messages", "forwarded", "late", "malformed")
+
+
+@query
+def stream_publish_in_order(spark, sf):
+    path, state = new_path(spark, "ordered"), new_path(spark, "sequences")
+    feed.publish_in_order(_event_stream(spark, sf), path, state)
+    sent = spark.read.schema("key string, value string, sequence long").parquet(path)
+    event_id = F.get_json_object("value", "$.event_id").cast("long")
+    return sent.select("key", event_id.alias("event_id"), "sequence")
+
+
 @query
 def stream_dedup_window(spark, sf):
     path = new_path(spark, "live-events")
