@@ -52,9 +52,9 @@ class Sizes:
     (half of that for several), and the most a bucket may hold in memory; ranges that wait, and crowded stretches in one row."""
 
     cut: int = 8 << 20
-    bucket: int = 16 << 20
+    bucket: int = 32 << 20
     index: int = 2_000_000
-    hold: int = 64 << 20
+    hold: int = 96 << 20
     ranges: int = 500_000
     slice: int = 500
 
@@ -142,7 +142,7 @@ class Stretches:
     def packed(self) -> bytes:
         columns = [self.doc, self.tag, self.start, self.anchor.view(np.int64), self.digest.view(np.int64), self.sizes]
         whole = np.array([len(self.text)], "<i8").tobytes() + np.stack(columns).astype("<i8").tobytes()
-        return zstandard.ZstdCompressor(level=1).compress(whole + b"".join(self.text))
+        return zstandard.ZstdCompressor(level=3).compress(whole + b"".join(self.text))
 
     @staticmethod
     def unpacked(packed: bytes) -> Stretches:
@@ -229,7 +229,8 @@ def cut(frames: Iterator[pd.DataFrame], length: int, buckets: int, sizes: Sizes)
         first = _settled(held, ranges)
         yield from ranges.frames()
         bucket = (first.anchor % np.uint64(buckets)).astype(np.int64)
-        rows = np.argsort(bucket, kind="stable")
+        # in the order of the texts, neighbours share a document and most of their bytes
+        rows = np.lexsort((first.start, first.tag, first.doc, bucket))
         for part in np.split(rows, np.flatnonzero(np.diff(bucket[rows])) + 1):
             yield _row(int(bucket[part[0]]), first.take(part).packed())
 
