@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+_scope: ContextVar[str] = ContextVar("staging-scope", default="")
 
 
 def build_session(app_name: str, master: str | None = None, **conf: str) -> SparkSession:
@@ -43,10 +47,27 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+def _root(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/staged/{spark.sparkContext.applicationId}"
+
+
 def new_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
-    app = spark.sparkContext.applicationId
-    return f"{shared_dir(spark)}/staged/{app}/{label}-{uuid.uuid4().hex}"
+    return f"{_root(spark)}{_scope.get()}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def staging_scope(spark: SparkSession) -> Iterator[None]:
+    """What is staged inside is removed at the end, also if the work failed. Nothing that is read
+    later may depend on it: write results elsewhere. Scopes may lie within one another."""
+    outer = _scope.get()
+    token = _scope.set(f"{outer}/scope-{uuid.uuid4().hex}")
+    inner = f"{_root(spark)}{_scope.get()}"
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        _delete(spark, inner)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -62,12 +83,23 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stage_sorted(df: DataFrame, by: str, label: str, group_bytes: int = 1 << 18) -> DataFrame:
+    """Stage with each file sorted by one column, in small row groups: their statistics then let a
+    scan with a condition on that column skip most of them. Rows stay in the task they are in."""
+    spark = df.sparkSession
+    path = new_path(spark, label)
+    df.sortWithinPartitions(by).write.option("parquet.block.size", group_bytes).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def discard_staged(spark: SparkSession) -> None:
     """Remove what this application staged. Call it after the last result is written."""
-    root = f"{shared_dir(spark)}/staged/{spark.sparkContext.applicationId}"
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(root)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    _delete(spark, _root(spark))
 
 
 def at_most(df: DataFrame, rows: int) -> bool:
