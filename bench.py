@@ -21,7 +21,8 @@ HEADLINE = [
     "dim_employee_scd2", "fact_transactions", "bridge_employee_project", "as_of_join",
     "as_of_join_merge", "dq_report", "events_clean", "project_activity_summary",
     "user_activity_summary", "escalation_log", "daily_event_volume", "peak_usage_analysis",
-    "numeric_summary", "stream_event_counts", "stream_critical_route",
+    "numeric_summary", "stream_event_counts", "stream_critical_route", "event_job", "foundations_job",
+    "star_reconciliation",
 ]
 RUNS = 2
 

@@ -130,6 +130,13 @@ def monthly_spend_last_year(spark, sf):
     return questions.monthly_spend_trend(rows, last_months=282, as_of=v.AS_OF)
 
 
+@query
+def monthly_spend_last_12_months(spark, sf):
+    """The last year of the data; `monthly_spend_last_year` counts back from a later day."""
+    rows = spend(spark, sf, "category", "transaction_date")
+    return questions.monthly_spend_trend(rows, last_months=12, as_of=v.dt.date(1998, 12, 1))
+
+
 @query
 def category_trend(spark, sf):
     return questions.category_trend(spend(spark, sf, "category", "transaction_date"), "ECONOMY")
