@@ -247,6 +247,23 @@ def test_fingerprints_are_homomorphic():
     assert 0 < multiset_hash.likeness(a, near) < 1
 
 
+def test_likeness_is_the_share_that_is_kept():
+    random.seed(6)
+
+    def prose(n, breaks):
+        return "".join(f"word{random.randrange(9**9)}" + random.choice(breaks) for _ in range(n))
+
+    for n, breaks in [(40, [" "]), (300, [" "]), (300, [" "] * 9 + ["\n"]), (2_500, [" "]), (2_500, [" ", "\n"])]:
+        kept, far = [], []
+        for _ in range(8):
+            text, following = prose(n, breaks), prose(n, breaks)
+            mine = multiset_hash.fingerprint(text)
+            kept.append(multiset_hash.likeness(mine, multiset_hash.fingerprint(multiset_hash.edited(text, following))))
+            far.append(multiset_hash.likeness(mine, multiset_hash.fingerprint(following)))
+        assert 0.5 < np.mean(kept) < 0.8 and np.mean(far) < 0.2
+    assert "".join(multiset_hash.parts("a b  c ")) and " ".join(multiset_hash.parts("a b  c ")) == "a b  c "
+
+
 @pytest.mark.parametrize("rows", [
     [], [(5, "only\none")], [(1, "a"), (2, None), (3, "c\nd" * 9), (9, ""), (None, "z"), (3, "b")],
     [(i, f"text {i}\n" * (i % 7)) for i in range(100)],
