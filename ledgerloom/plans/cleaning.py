@@ -291,6 +291,21 @@ def clean_employees(
     return finish_employees(check_employees(employees, history, limits), limits)
 
 
+#: Columns that cleaning may change, and what the raw ones are called beside them.
+COMPARED = {
+    "email": "raw_email", "hire_date": "raw_hire_date", "salary": "raw_salary",
+    "years_experience": "raw_years",
+}
+
+
+def raw_beside_clean(raw: DataFrame, clean: DataFrame) -> DataFrame:
+    """The employees that some rule flagged, raw values beside the clean ones. `raw` has one row per
+    employee."""
+    before = raw.select("employee_id", *[F.col(c).alias(name) for c, name in COMPARED.items()])
+    after = clean.filter("dq_flags <> ''").select("employee_id", *COMPARED, "dq_flags")
+    return before.join(after, "employee_id")
+
+
 def _per_employee(checked: DataFrame, measures: Mapping[str, object]) -> DataFrame:
     """Sum the markers per id, then over ids: one shuffle also yields the duplicate count."""
     per_id = checked.groupBy("employee_id").agg(

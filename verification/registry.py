@@ -232,14 +232,7 @@ def employee_fix_report(spark, sf):
 
 @query
 def raw_clean_compare(spark, sf):
-    raw = people(spark, sf).select(
-        "employee_id", F.col("email").alias("raw_email"), F.col("hire_date").alias("raw_hire_date"),
-        F.col("salary").alias("raw_salary"), F.col("years_experience").alias("raw_years"),
-    )
-    fixed = clean_employees(spark, sf).filter("dq_flags <> ''").select(
-        "employee_id", "email", "hire_date", "salary", "years_experience", "dq_flags"
-    )
-    return raw.join(fixed, "employee_id")
+    return cleaning.raw_beside_clean(people(spark, sf), clean_employees(spark, sf))
 
 
 @query
@@ -275,11 +268,9 @@ def status_risk_crosstab(spark, sf):
 
 @query
 def level_quantile_screen(spark, sf):
-    staff = v.employees(spark, sf)
-    limit = stage(quantile.quantile_by(staff, "level", "salary", 0.99, "_p99"), "level-p99")
-    screened = staff.join(limit.withColumnRenamed("level", "_level"), F.col("level") == F.col("_level"))
-    odd = (F.col("salary").cast("double") > F.col("_p99") * 0.95) | (F.col("years_experience") < 0)
-    return screened.filter(odd).select("row_seq", "employee_id", "level", "salary", "years_experience")
+    screened = quantile.above_quantile(v.employees(spark, sf), "level", "salary", 0.99, share=0.95)
+    odd = screened.filter(F.col("_above") | (F.col("years_experience") < 0))
+    return odd.select("row_seq", "employee_id", "level", "salary", "years_experience")
 
 
 @query
