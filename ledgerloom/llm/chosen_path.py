@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
 from ledgerloom.llm.support import col
-from ledgerloom.session import stage
+from ledgerloom.session import at_most, stage
 
 SHINGLE_WORDS = 5
 THRESHOLD_PERCENT = 80
@@ -50,6 +50,8 @@ REST_PAIRS = 5
 #: A candidate pair agrees on this share of all tokens at least. For sets at the threshold that is
 #: more than five standard deviations below what they agree on.
 SKETCH_SHARE = 0.5
+#: Most classes (under 100 bytes each) that are sent to every task.
+BROADCAST_CLASSES = 400_000
 _TOKENS = TREES * LEVELS * POOL
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -122,8 +124,9 @@ def sketches(docs: DataFrame, words: int) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(rep, shingles) of the `wanted` classes (rep, key, digest), from the texts again: sets are
-    large and few are needed, so they are not kept for all rows."""
+    """(rep, shingles) of the staged `wanted` classes (rep, key, digest), from the texts again: sets
+    are large and few are needed, so they are not kept for all rows. Up to BROADCAST_CLASSES of them
+    go to the texts, which then do not move; beyond that both are shuffled."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for _, found in _texts(frames, words):
@@ -131,9 +134,12 @@ def full_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
                 "digest": [digest(s) for s in found], "shingles": [s.astype("<u8").tobytes() for s in found],
             })
 
+    names = wanted.select("rep", "digest")
     keys = wanted.select(F.col("key").alias("doc_id")).distinct()
+    if at_most(wanted, BROADCAST_CLASSES):
+        names, keys = F.broadcast(names), F.broadcast(keys)
     picked = docs.join(keys, "doc_id", "left_semi").mapInPandas(run, "digest string, shingles binary")
-    return picked.join(wanted.select("rep", "digest"), "digest").select("rep", "shingles")
+    return picked.join(names, "digest").select("rep", "shingles")
 
 
 # --- components -------------------------------------------------------------------------------
