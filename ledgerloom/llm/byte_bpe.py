@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.support import col, load_ranks, ship_file, shipped, unused
+from ledgerloom.llm.support import col, load_ranks, release_memory, ship_file, shipped, unused
 
 #: Texts up to this many characters go to the library whole.
 PIECE_CHARS = 50_000
@@ -87,6 +87,7 @@ def tokens(text: Column, path: str, pattern: str) -> Column:
 
     @F.pandas_udf("ids binary, decoded binary")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        release_memory()  # the library needs much for itself
         for texts in batches:
             ids = [encode(t, path, pattern) for t in texts]
             yield pd.DataFrame({

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import base64
+import ctypes
+import gc
 import io
 import os
 import zipfile
@@ -12,6 +14,7 @@ from pathlib import Path
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,10 +22,20 @@ from pyspark.sql import functions as F
 from ledgerloom.session import new_path
 
 #: Rows of one Arrow batch.
-BATCH_ROWS = 1_000
+BATCH_ROWS = 500
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 
+def release_memory() -> None:
+    """Give back what a worker still holds from earlier tasks: workers are used again, and neither the
+    allocator nor Arrow's pool returns free pages by itself."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables, read by Spark so that any store will do."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
