@@ -47,7 +47,7 @@ def query(function: Query) -> Query:
 URL_RULES = [
     url_trees.Rule("org", "/", url_trees.ALLOW),
     url_trees.Rule("example.org", "/es/", url_trees.BLOCK),
-    url_trees.Rule("example.org", "/en/1", url_trees.ALLOW),
+    url_trees.Rule("example.org", "/en/1", url_trees.BLOCK),
     url_trees.Rule("com", "/fr/", url_trees.ALLOW),
     url_trees.Rule("com", "/de/", url_trees.BLOCK),
 ]
