@@ -263,6 +263,30 @@ def test_facts_of_one_key_and_day_are_split(spark):
     assert {r["found"] for r in merged.collect()} == {7} and merged.count() == 4000
 
 
+def test_facts_are_computed_once_and_find_their_range_by_halving(spark):
+    """One pass per fact for the draw, the merge and the current version; no lambda per point."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(x):
+        seen.add(1)
+        return x
+
+    once = F.udf(count, "long")
+    facts = spark.range(500).select(once("id").alias("id"), (F.col("id") % 5).alias("k"), F.lit(DAY).alias("d"))
+    versions = spark.range(5).select(
+        F.col("id").alias("k"), F.lit(DAY).alias("a"), F.lit(dt.date(2025, 1, 1)).alias("b"),
+        F.lit(True).alias("c"), F.col("id").alias("v"))
+    got = joins.as_of_join(facts, versions, key="k", day="d", version_key="k", value="v", name="then",
+                           valid_from="a", valid_to="b", current="c", broadcast_rows=0)
+    assert all(r["then"] == r["k"] for r in got.collect()) and seen.value == 500
+    keys = spark.range(10_000).selectExpr("id % 97 AS k", "cast(id AS string) AS s")
+    points = ranges.split_points(keys, 50)
+    placed = ranges.place(keys, keys, points, "r")
+    plan = placed._jdf.queryExecution().executedPlan().toString()
+    assert "lambda" not in plan
+    assert placed.where(F.col("r") != ranges.range_number(keys, points)).count() == 0
+
+
 def test_heavy_join_needs_no_adaptive_splitting(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
