@@ -1,14 +1,19 @@
 """CSV and JSON records that span lines and blocks."""
 
 import csv
+import hashlib
 import json
 import random
+from pathlib import Path
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerloom.session import shared_dir
 from ledgerloom.sources import readers, records, writers
+from verification.registry import QUERIES
 
 TEXT = T.StructType([T.StructField(c, T.StringType()) for c in ("id", "note", "tail")])
 
@@ -77,3 +82,38 @@ def test_malformed_json_records_are_counted(spark, tmp_path):
     got = readers.read_json_records(spark, str(tmp_path / "a.json"), TEXT, malformed="broken").collect()
     assert len(got) == 3 and [r["id"] for r in got if r["broken"] is None] == ["1", "3"]
     assert [r["broken"] for r in got if r["broken"]] == ['{"id": 2 oops}']
+
+
+def test_notes_are_written_and_cut_by_as_many_tasks_as_the_table_has(spark, tmp_path):
+    """Not two files whatever the size, and no piece leaves the task that read it."""
+    rows = [(i, f'note {i}\n"quoted", cell {i}\n') for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs.repartition(6).write.option("maxRecordsPerFile", 10).parquet(f"{tmp_path}/documents.parquet")
+    spark.conf.set("spark.sql.files.openCostInBytes", str(1 << 30))  # one file a task
+    folder = Path(shared_dir(spark).removeprefix("file://"))
+    earlier = set(folder.glob("staged/**/notes-*"))
+    try:
+        got = {r["doc_id"]: r["digest"] for r in QUERIES["notes_through_csv"](spark, str(tmp_path)).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert got == {i: hashlib.md5(text.encode()).hexdigest() for i, text in rows}
+    [written] = set(folder.glob("staged/**/notes-*")) - earlier
+    assert len(list(written.glob("part-*.csv"))) >= 6
+
+
+def test_pieces_stay_in_the_task_that_read_them(spark, tmp_path):
+    (tmp_path / "array.json").write_text('[{"a": "x}"}, {"a": "y"}]')
+    pieces = records._pieces(spark, str(tmp_path), "}")
+    states = spark.createDataFrame(
+        [tuple(r) for r in pieces.select("file", "block", F.lit(False), F.lit(0)).distinct().collect()],
+        "file string, block long, inside boolean, depth int")
+    plans = []
+    kept = records.stage
+    records.stage = lambda df, *rest: plans.append(
+        df._jdf.queryExecution().executedPlan().toString()) or kept(df, *rest)
+    try:
+        found = records._cut(pieces, states, records._json_cutter).orderBy("at").collect()
+    finally:
+        records.stage = kept
+    assert [r["text"] for r in found][:2] == ['[{"a": "x}"}', ', {"a": "y"}']
+    assert "BroadcastHashJoin" in plans[0] and "hashpartitioning" not in plans[0]
