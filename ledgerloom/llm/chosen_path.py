@@ -11,8 +11,11 @@ A node is compared exhaustively as soon as the pairs still open in it are few fo
 of classes that are not yet known to be connected. Larger nodes are linked to one leader first, so
 that a group of thousands of near copies is connected by a linear number of comparisons; then they
 branch. A node whose classes are all connected has nothing left to tell and ends. At the last level
-all pairs that are still open are compared, so no candidate is ever dropped. Every link is
-confirmed on the full sets.
+all pairs that are still open are compared, so no candidate is ever dropped.
+
+Rows carry a short form of their tokens, and a comparison is a condition of the join that meets a
+node's rows: only pairs that are alike by it are ever written, not all that meet. Every link is
+confirmed on the full sets, and no pair is confirmed twice.
 
 Connected components come from rounds of minimum labels over the confirmed links, each written to
 the shared folder.
@@ -54,6 +57,11 @@ SKETCH_SHARE = 0.5
 BROADCAST_CLASSES = 400_000
 _TOKENS = TREES * LEVELS * POOL
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+#: The short form: the low bits of each token, so many tokens to a 64-bit integer.
+SHORT_BITS, SHORT_TOKENS = 5, 12
+SHORT = [f"short{i}" for i in range(-(-_TOKENS // SHORT_TOKENS))]
+_TOP = sum(1 << (SHORT_BITS * i + SHORT_BITS - 1) for i in range(SHORT_TOKENS))
+_LOW = sum((1 << (SHORT_BITS - 1)) - 1 << SHORT_BITS * i for i in range(SHORT_TOKENS))
 
 
 # --- sets and sketches ------------------------------------------------------------------------
@@ -93,6 +101,13 @@ def minwise(shingles: np.ndarray) -> np.ndarray:
     return (_scramble(least) & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
 
 
+def short(tokens: np.ndarray) -> np.ndarray:
+    """The short form of one set's tokens."""
+    low = np.zeros(len(SHORT) * SHORT_TOKENS, np.int64)
+    low[:len(tokens)] = tokens & ((1 << SHORT_BITS) - 1)
+    return (low.reshape(-1, SHORT_TOKENS) << (SHORT_BITS * np.arange(SHORT_TOKENS))).sum(axis=1)
+
+
 def digest(shingles: np.ndarray) -> str | None:
     if not len(shingles):
         return None
@@ -107,19 +122,24 @@ def _texts(frames: Iterator[pd.DataFrame], words: int):
 
 
 def sketches(docs: DataFrame, words: int) -> DataFrame:
-    """Per row: doc_id, number of shingles, a digest of the set and its minwise tokens."""
+    """Per row: doc_id, number of shingles, a digest of the set, its minwise tokens and their short
+    form."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part, found in _texts(frames, words):
+            tokens = [minwise(s) if len(s) else None for s in found]
+            brief = [short(t) if t is not None else [None] * len(SHORT) for t in tokens]
             yield pd.DataFrame({
                 "doc_id": part["doc_id"].astype("Int64").to_numpy(dtype=object, na_value=None),
                 "n_shingles": [len(s) for s in found],
                 "digest": [digest(s) for s in found],
-                "tokens": [minwise(s) if len(s) else None for s in found],
+                "tokens": tokens,
+                **{name: pd.array([b[i] for b in brief], "Int64") for i, name in enumerate(SHORT)},
             })
 
     return docs.mapInPandas(
-        run, "doc_id long, n_shingles long, digest string, tokens array<int>"
+        run, "doc_id long, n_shingles long, digest string, tokens array<int>, "
+        + ", ".join(f"{name} long" for name in SHORT)
     )
 
 
@@ -175,8 +195,12 @@ def _spread(edges: DataFrame, labels: DataFrame) -> DataFrame:
 
 # --- the trees --------------------------------------------------------------------------------
 
+#: What a row of a tree carries; `component` is what its class is known to belong to so far.
+_ROW = ["rep", "tree", "node", "component", "n_shingles", *SHORT]
+
+
 def _branch(rows: DataFrame, level: int) -> DataFrame:
-    """(rep, tree, node): each row once per token that its node chooses. The choice hangs on the
+    """Each row once per token that its node chooses, without the tokens. The choice hangs on the
     path alone; every level has tokens of its own, so no path meets a token twice."""
     left_out = F.pmod(F.xxhash64("node", F.lit(level)), F.lit(POOL))
     places = F.transform(
@@ -185,17 +209,44 @@ def _branch(rows: DataFrame, level: int) -> DataFrame:
     first = F.col("tree") * (LEVELS * POOL) + level * POOL + 1
     token = F.element_at("tokens", (first + F.col("_place")).cast("int"))
     return (
-        rows.select("rep", "tree", "node", "tokens", F.explode(places).alias("_place"))
-        .select("rep", "tree", F.xxhash64("node", "_place", token).alias("node"))
+        rows.select(*_ROW, "tokens", F.explode(places).alias("_place"))
+        .withColumn("node", F.xxhash64("node", "_place", token)).select(*_ROW)
     )
 
 
-def _labelled(rows: DataFrame, label: DataFrame | None) -> DataFrame:
-    """With the component that each class is known to belong to so far."""
-    if label is None:
-        return rows.withColumn("component", F.col("rep"))
-    known = label.withColumnRenamed("id", "rep")
-    return rows.join(known, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+def _labelled(rows: DataFrame, label: DataFrame) -> DataFrame:
+    """With the component that each class is known to belong to by now."""
+    known = label.select(F.col("id").alias("rep"), F.col("component").alias("_known"))
+    return rows.join(known, "rep", "left").withColumn(
+        "component", F.coalesce("_known", "component")
+    ).drop("_known")
+
+
+def _alike(percent: int) -> Column:
+    """What the sizes and the short forms of two rows (x_, y_) allow. Equal tokens have equal short
+    forms, so every pair that `_promising` lets through is let through here."""
+    def unequal(name: str) -> Column:
+        # the top bit of each field is set if and only if the fields differ; no sum leaves its field
+        both = F.col(f"x_{name}").bitwiseXOR(F.col(f"y_{name}"))
+        filled = (both.bitwiseAND(F.lit(_LOW)) + F.lit(_LOW)).bitwiseOR(both)
+        return F.bit_count(filled.bitwiseAND(F.lit(_TOP)))
+
+    differ = unequal(SHORT[0])
+    for name in SHORT[1:]:
+        differ = differ + unequal(name)
+    sizes = F.col("x_n_shingles"), F.col("y_n_shingles")
+    return (100 * F.least(*sizes) >= percent * F.greatest(*sizes)) & (
+        differ <= F.lit(int(_TOKENS - SKETCH_SHARE * _TOKENS)))
+
+
+def _side(rows: DataFrame, side: str, *more: str) -> DataFrame:
+    """The rows as one side of a comparison within their nodes."""
+    compared = ["rep", "component", "n_shingles", *SHORT, *more]
+    return rows.select("node", *[F.col(c).alias(f"{side}_{c}") for c in compared])
+
+
+def _pair(x: str, y: str) -> list[Column]:
+    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
 def _open_nodes(marked: DataFrame, level: int, fresh: bool) -> DataFrame:
@@ -220,24 +271,20 @@ def _open_nodes(marked: DataFrame, level: int, fresh: bool) -> DataFrame:
     return nodes.where("_parts > 1").select("node", "size", "leader", "major", open_pairs)
 
 
-def _exhaustive(rows: DataFrame) -> DataFrame:
-    """The open pairs of each node. Rows outside the node's largest component are few, and each
-    meets all rows of its node; pairs within the largest component need no look."""
-    minor = rows.where("component != major").select(
-        "node", F.col("rep").alias("_x"), F.col("component").alias("_cx")
-    )
-    every = rows.select("node", F.col("rep").alias("_y"), F.col("component").alias("_cy"), "major")
-    joined = minor.join(every, "node").where(
-        (F.col("_cx") != F.col("_cy")) & ((F.col("_cy") == F.col("major")) | (F.col("_x") < F.col("_y")))
-    )
-    return joined.select(F.least("_x", "_y").alias("a"), F.greatest("_x", "_y").alias("b"))
+def _exhaustive(rows: DataFrame, percent: int) -> DataFrame:
+    """The open pairs of each node that are alike. Rows outside the node's largest component are few,
+    and each meets all rows of its node; pairs within the largest component need no look."""
+    minor, every = _side(rows.where("component != major"), "x"), _side(rows, "y", "major")
+    once = (F.col("y_component") == F.col("y_major")) | (F.col("x_rep") < F.col("y_rep"))
+    return minor.join(every, "node").where(
+        (F.col("x_component") != F.col("y_component")) & once & _alike(percent)
+    ).select(*_pair("x_rep", "y_rep"))
 
 
-def _to_leader(rows: DataFrame) -> DataFrame:
-    """Each class of a large node against the node's leader."""
-    return rows.where("rep != leader").select(
-        F.least("leader", "rep").alias("a"), F.greatest("leader", "rep").alias("b")
-    )
+def _to_leader(rows: DataFrame, percent: int) -> DataFrame:
+    """Each class of a large node against the node's leader, if they are alike."""
+    leaders, others = _side(rows.where("rep = leader"), "x"), _side(rows.where("rep != leader"), "y")
+    return others.join(leaders, "node").where(_alike(percent)).select(*_pair("x_rep", "y_rep"))
 
 
 def _promising(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -276,26 +323,30 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def links(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
-    """Confirmed links between classes (rep, key, digest, n_shingles, tokens), enough of them to
-    connect all that any candidate pair connects."""
+    """Confirmed links between classes (rep, key, digest, n_shingles, tokens and their short form),
+    enough of them to connect all that any candidate pair connects."""
     spark = docs.sparkSession
     trees = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")
-    rows = classes.select("rep", "tokens", trees).withColumn("node", F.xxhash64("tree"))
-    found = spark.createDataFrame([], "a long, b long")
+    rows = classes.select("rep", "tokens", "n_shingles", *SHORT, trees).withColumns(
+        {"node": F.xxhash64("tree"), "component": F.col("rep")})
+    found = tested = spark.createDataFrame([], "a long, b long")
     sets = label = None
     few = REST_PAIRS * classes.count()
     for level in range(LEVELS):
-        marked = _labelled(_branch(rows, level), label)
+        marked = _branch(rows, level)
         nodes = _open_nodes(marked, level, label is None)
         rows = stage(marked.join(nodes, "node"), "nodes")
         small = F.col("open") <= OPEN_PAIRS * F.col("size")
         # each row of a node carries its share of the node's open pairs
         rest = rows.where(~small).agg(F.sum(F.col("open") / F.col("size"))).first()[0] or 0.0
         last = level == LEVELS - 1 or rest <= few
-        pairs = _exhaustive(rows if last else rows.where(small))
+        pairs = _exhaustive(rows if last else rows.where(small), percent)
         if not last:
-            pairs = pairs.union(_to_leader(rows.where(~small)))
-        pairs = stage(_promising(pairs.distinct(), classes, percent), "pairs")
+            pairs = pairs.union(_to_leader(rows.where(~small), percent))
+        # pairs that an earlier level has confirmed or refused need no second look
+        pairs = pairs.distinct().join(tested, ["a", "b"], "left_anti")
+        pairs = stage(_promising(pairs, classes, percent), "pairs")
+        tested = tested.union(pairs)
         paired = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
         reps = paired if sets is None else paired.join(sets.select("rep"), "rep", "left_anti")
         wanted = stage(classes.select("rep", "key", "digest").join(reps, "rep"), "wanted")
@@ -312,9 +363,10 @@ def links(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> Data
         # without a pair so far, the large nodes are still open and branch
         if sets is not None and not new.isEmpty():
             label = components(found)
-        large = rows.where(~small).select("rep", "tree", "node")
+        large = rows.where(~small).select(*_ROW)
         if label is not None:
-            still = _open_nodes(_labelled(large, label), level, False).select("node")
+            large = stage(_labelled(large, label), "large")
+            still = _open_nodes(large, level, False).select("node")
             large = large.join(still, "node", "left_semi")
         rows = large.join(classes.select("rep", "tokens"), "rep")
     return found
@@ -335,12 +387,12 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS,
     known = rows.where("doc_id is not null and digest is not null")
     # one row stands for each class: the narrow minimum finds it, so hot classes combine early
     position = F.struct("doc_id", F.monotonically_increasing_id().alias("place"))
-    placed = stage(known.select("digest", "n_shingles", "tokens", position.alias("at")), "placed")
+    placed = stage(known.select("digest", "n_shingles", "tokens", *SHORT, position.alias("at")), "placed")
     first = placed.groupBy("digest").agg(F.min("at").alias("at"))
     classes = stage(
         placed.join(first, ["digest", "at"]).select(
             F.col("at.place").alias("rep"), F.col("at.doc_id").alias("key"),
-            "digest", "n_shingles", "tokens",
+            "digest", "n_shingles", "tokens", *SHORT,
         ), "classes"
     )
     found = links(texts, classes, words, percent)

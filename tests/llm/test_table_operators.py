@@ -99,6 +99,39 @@ def test_large_nodes_stay_open_without_a_pair(spark, monkeypatch):
     assert {r["component_id"] for r in got.collect()} == {0} and len(levels) > 1
 
 
+def test_rows_of_a_node_that_are_unlike_make_no_pair(spark):
+    # one node of 30 unlike texts, a near copy of one of them, and one of other length
+    words = [f"w{i} " * 3 for i in range(4000)]
+    rows = [(i, " ".join(words[100 * i:100 * i + 100])) for i in range(30)]
+    rows += [(30, rows[7][1] + " end"), (31, " ".join([rows[7][1]] + words[3500:3900]))]
+    texts = spark.createDataFrame(rows, "doc_id long, text string")
+    classes = chosen_path.sketches(texts, 4).withColumnRenamed("doc_id", "rep")
+    node = classes.withColumns({
+        "node": F.lit(1), "component": F.col("rep"), "major": F.lit(7).cast("long"), "leader": F.lit(7)})
+    for found in (chosen_path._exhaustive(node, 80), chosen_path._to_leader(node, 80)):
+        assert [tuple(r) for r in found.collect()] == [(7, 30)]
+    every = node.select(F.col("rep").alias("a")).crossJoin(node.select(F.col("rep").alias("b"))).where("a < b")
+    assert [tuple(r) for r in chosen_path._promising(every, classes, 80).collect()] == [(7, 30)]
+
+
+def test_no_pair_is_confirmed_twice(spark, monkeypatch):
+    # two texts too unlike to be linked, in nodes that stay open at every level
+    real, seen = chosen_path._confirmed, []
+
+    def confirmed(pairs, sets, percent):
+        seen.extend(map(tuple, pairs.collect()))
+        return real(pairs, sets, percent)
+
+    monkeypatch.setattr(chosen_path, "_confirmed", confirmed)
+    monkeypatch.setattr(chosen_path, "OPEN_PAIRS", 0)
+    monkeypatch.setattr(chosen_path, "REST_PAIRS", 0)
+    base = [f"w{i}" for i in range(90)]
+    rows = [(0, " ".join(base + [f"x{i}" for i in range(14)])),
+            (1, " ".join(base + [f"y{i}" for i in range(14)]))]
+    got = chosen_path.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 4)
+    assert {r["component_id"] for r in got.collect()} == {0, 1} and len(seen) == 1
+
+
 @pytest.mark.parametrize("percent", [30, 79, 101])
 def test_duplicates_refuse_thresholds_they_would_miss(spark, percent):
     docs = spark.createDataFrame([(1, "a b c d")], "doc_id long, text string")
