@@ -17,6 +17,14 @@ Rows carry a short form of their tokens, and a comparison is a condition of the
 node's rows: only pairs that are alike by it are ever written, not all that meet. Every link is
 confirmed on the full sets, and no pair is confirmed twice.
 
+Copies of one text that were edited in places of their own are alike in pairs, by the thousand, and
+yet few pairs reach the threshold. For the classes that are still open in large nodes after the second
+level and after later ones, the shingles that only one or two of them have are found in one pass over
+their sets. What two sets have in common is bounded by the other, common shingles of each, and by the
+rare ones that they share. So pairs that share rare shingles are looked at by themselves; and where the
+common ones alone are too few, a class leaves its node and a pair is never met. This bound is exact: it
+loses no link. The leader of a node is then the class with the least share of rare shingles.
+
 Connected components come from rounds of minimum labels over the confirmed links, each written to
 the shared folder.
 
@@ -29,7 +37,7 @@ component and is kept; an empty table gives an empty result. Other columns are n
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -37,7 +45,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from ledgerloom.llm.support import col
+from ledgerloom.llm.support import col, release_memory
 from ledgerloom.session import at_most, stage
 
 SHINGLE_WORDS = 5
@@ -55,6 +63,8 @@ REST_PAIRS = 5
 SKETCH_SHARE = 0.5
 #: Most classes (under 100 bytes each) that are sent to every task.
 BROADCAST_CLASSES = 400_000
+#: The first level after which rare shingles of the open classes are found.
+BOUND_LEVEL = 1
 _TOKENS = TREES * LEVELS * POOL
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 #: The short form: the low bits of each token, so many tokens to a 64-bit integer.
@@ -115,6 +125,7 @@ def digest(shingles: np.ndarray) -> str | None:
 
 
 def _texts(frames: Iterator[pd.DataFrame], words: int):
+    release_memory()  # workers of earlier stages are used again
     for frame in frames:
         for low in range(0, len(frame), 500):
             part = frame.iloc[low:low + 500]
@@ -148,17 +159,33 @@ def full_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     are large and few are needed, so they are not kept for all rows. Up to BROADCAST_CLASSES of them
     go to the texts, which then do not move; beyond that both are shuffled."""
 
+    return _of_texts(docs, wanted, words, "binary", lambda s: s.astype("<u8").tobytes())
+
+
+def rare_shingles(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """(a, b, rare): how many shingles only the classes a < b of the staged `wanted` ones have, or only
+    a = b. Shingles are compared by 32 bits of their hash. Where two agree by chance they count as
+    one of more owners, so no class seems to have more rare ones than it has."""
+    narrow = _of_texts(
+        docs, wanted, words, "array<int>", lambda s: (s & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
+    ).select("rep", F.explode("shingles").alias("shingle"))
+    owners = narrow.groupBy("shingle").agg(
+        F.min("rep").alias("a"), F.max("rep").alias("b"), F.count("*").alias("_rows"))
+    return owners.where("a = b or _rows = 2").groupBy("a", "b").agg(F.count("*").alias("rare"))
+
+
+def _of_texts(docs: DataFrame, wanted: DataFrame, words: int, kind: str, form: Callable) -> DataFrame:
+    """(rep, shingles) of the staged `wanted` classes (rep, key, digest), the sets as `form` writes them."""
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for _, found in _texts(frames, words):
-            yield pd.DataFrame({
-                "digest": [digest(s) for s in found], "shingles": [s.astype("<u8").tobytes() for s in found],
-            })
+            yield pd.DataFrame({"digest": [digest(s) for s in found], "shingles": [form(s) for s in found]})
 
     names = wanted.select("rep", "digest")
     keys = wanted.select(F.col("key").alias("doc_id")).distinct()
     if at_most(wanted, BROADCAST_CLASSES):
         names, keys = F.broadcast(names), F.broadcast(keys)
-    picked = docs.join(keys, "doc_id", "left_semi").mapInPandas(run, "digest string, shingles binary")
+    picked = docs.join(keys, "doc_id", "left_semi").mapInPandas(run, f"digest string, shingles {kind}")
     return picked.join(names, "digest").select("rep", "shingles")
 
 
@@ -195,8 +222,9 @@ def _spread(edges: DataFrame, labels: DataFrame) -> DataFrame:
 
 # --- the trees --------------------------------------------------------------------------------
 
-#: What a row of a tree carries; `component` is what its class is known to belong to so far.
-_ROW = ["rep", "tree", "node", "component", "n_shingles", *SHORT]
+#: What a row of a tree carries; `component` is what its class is known to belong to so far, `common`
+#: how many of its shingles more than one other open class may have.
+_ROW = ["rep", "tree", "node", "component", "n_shingles", "common", *SHORT]
 
 
 def _branch(rows: DataFrame, level: int) -> DataFrame:
@@ -235,13 +263,51 @@ def _alike(percent: int) -> Column:
     for name in SHORT[1:]:
         differ = differ + unequal(name)
     sizes = F.col("x_n_shingles"), F.col("y_n_shingles")
-    return (100 * F.least(*sizes) >= percent * F.greatest(*sizes)) & (
-        differ <= F.lit(int(_TOKENS - SKETCH_SHARE * _TOKENS)))
+    common = F.least("x_common", "y_common")
+    return (
+        (100 * F.least(*sizes) >= percent * F.greatest(*sizes)) & _enough(common, *sizes, percent)
+        & (differ <= F.lit(int(_TOKENS - SKETCH_SHARE * _TOKENS)))
+    )
+
+
+def _enough(common: Column, one: Column, other: Column, percent: int) -> Column:
+    """Whether two sets of these sizes can be similar enough with at most `common` equal shingles."""
+    return (100 + percent) * common >= percent * (one + other)
+
+
+def _bounded(rows: DataFrame, rare: DataFrame) -> DataFrame:
+    """With `common` from what each class has rare."""
+    of_each = rare.select(F.col("a").alias("rep"), "rare").union(
+        rare.where("a != b").select("b", "rare")).groupBy("rep").agg(F.sum("rare").alias("_rare"))
+    common = F.col("n_shingles") - F.coalesce("_rare", F.lit(0))
+    return rows.join(of_each, "rep", "left").withColumn("common", common).drop("_rare")
+
+
+def _by_rare(rows: DataFrame, rare: DataFrame, percent: int) -> DataFrame:
+    """The open pairs that share rare shingles, if these and their common ones are enough."""
+    of = rows.select("rep", "component", "n_shingles", "common").distinct()
+    left, right = (of.select(*[F.col(c).alias(f"{s}_{c}") for c in of.columns]) for s in "xy")
+    # a partner has at least `percent` of their own size
+    enough = 100 * (F.col("x_common") + F.col("rare")) >= percent * F.col("x_n_shingles")
+    one = rare.where("a != b").join(left, (F.col("a") == F.col("x_rep")) & enough)
+    common = F.least("x_common", "y_common") + F.col("rare")
+    return one.join(right, (F.col("b") == F.col("y_rep")) & (F.col("x_component") != F.col("y_component"))
+                    & _enough(common, F.col("x_n_shingles"), F.col("y_n_shingles"), percent)).select("a", "b")
+
+
+def _linkable(rows: DataFrame, percent: int) -> DataFrame:
+    """The rows whose common shingles are enough for some partner in their node. A partner has at least
+    `percent` of their own size, and no less than the node's least set."""
+    least = rows.groupBy("node").agg(F.min("n_shingles").alias("_least"))
+    partner = F.greatest(F.col("_least").cast("double"), percent * F.col("n_shingles") / 100)
+    return rows.join(least, "node").where(
+        _enough(F.col("common"), F.col("n_shingles"), partner, percent)
+    ).drop("_least")
 
 
 def _side(rows: DataFrame, side: str, *more: str) -> DataFrame:
     """The rows as one side of a comparison within their nodes."""
-    compared = ["rep", "component", "n_shingles", *SHORT, *more]
+    compared = ["rep", "component", "n_shingles", "common", *SHORT, *more]
     return rows.select("node", *[F.col(c).alias(f"{side}_{c}") for c in compared])
 
 
@@ -252,7 +318,7 @@ def _pair(x: str, y: str) -> list[Column]:
 def _open_nodes(marked: DataFrame, level: int, fresh: bool) -> DataFrame:
     """Nodes that hold more than one component: size, a leader, the largest component, and the
     number of open pairs (of classes that are not known to be connected)."""
-    order = F.xxhash64("rep", F.lit(level))
+    order = F.struct((1 - F.col("common") / F.col("n_shingles")).alias("rare"), F.xxhash64("rep", F.lit(level)).alias("o"))
     if fresh:  # each class is a component of its own
         nodes = marked.groupBy("node").agg(
             F.count("*").alias("size"), F.min_by("rep", order).alias("leader"),
@@ -328,9 +394,9 @@ def links(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> Data
     spark = docs.sparkSession
     trees = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")
     rows = classes.select("rep", "tokens", "n_shingles", *SHORT, trees).withColumns(
-        {"node": F.xxhash64("tree"), "component": F.col("rep")})
+        {"node": F.xxhash64("tree"), "component": F.col("rep"), "common": F.col("n_shingles")})
     found = tested = spark.createDataFrame([], "a long, b long")
-    sets = label = None
+    sets = label = beside = None
     few = REST_PAIRS * classes.count()
     for level in range(LEVELS):
         marked = _branch(rows, level)
@@ -343,6 +409,8 @@ def links(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> Data
         pairs = _exhaustive(rows if last else rows.where(small), percent)
         if not last:
             pairs = pairs.union(_to_leader(rows.where(~small), percent))
+        if beside is not None:
+            pairs = pairs.union(beside)
         # pairs that an earlier level has confirmed or refused need no second look
         pairs = pairs.distinct().join(tested, ["a", "b"], "left_anti")
         pairs = stage(_promising(pairs, classes, percent), "pairs")
@@ -365,9 +433,18 @@ def links(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> Data
             label = components(found)
         large = rows.where(~small).select(*_ROW)
         if label is not None:
-            large = stage(_labelled(large, label), "large")
+            large = _labelled(large, label)
+        large = stage(large, "large")
+        if label is not None:
             still = _open_nodes(large, level, False).select("node")
-            large = large.join(still, "node", "left_semi")
+            large = stage(large.join(still, "node", "left_semi"), "open")
+        if level >= BOUND_LEVEL:
+            reps = large.select("rep").distinct()
+            wanted = stage(classes.select("rep", "key", "digest").join(reps, "rep"), "wanted")
+            rare = stage(rare_shingles(docs, wanted, words), "rare")
+            large = stage(_bounded(large, rare), "large")
+            beside = _by_rare(large, rare, percent)
+            large = _linkable(large, percent)
         rows = large.join(classes.select("rep", "tokens"), "rep")
     return found
 

@@ -292,3 +292,39 @@ def test_letters_beyond_the_first_plane_count():
     found, counts = language_centroids.ngram_counts("\U00020000\U00020001", letters)
     assert len(found) and counts.sum() >= 4
     assert len(language_centroids.ngram_counts("\U0001F600 12 .", letters)[0]) == 0
+
+
+def _far_copies(n):
+    """A text and `n` copies of it in which an eighth to a sixth of the words are replaced by new ones;
+    every tenth copy has one new word only."""
+    base = [f"w{i}" for i in range(200)]
+    texts = [" ".join(base)]
+    for k in range(n):
+        words = list(base)
+        for e in range(1 if k % 10 == 0 else 10 + k % 5):
+            words[(k * 37 + e * 17) % 200] = f"new{k}x{e}"
+        texts.append(" ".join(words))
+    return texts
+
+
+def test_edited_copies_are_not_compared_in_all_pairs(spark, monkeypatch):
+    from ledgerloom.llm import chosen_path
+
+    met = []
+    promising = chosen_path._promising
+    monkeypatch.setattr(chosen_path, "_promising", lambda pairs, *more: (
+        met.append(pairs.count()), promising(pairs, *more))[1])
+    texts = _far_copies(160)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r["component_id"] for r in chosen_path.near_duplicates(docs, 4, 80).collect()}
+
+    sets = [{tuple(t.split()[i:i + 4]) for i in range(197)} for t in texts]
+    expected = list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                low, high = sorted((expected[a], expected[b]))
+                expected = [low if x == high else x for x in expected]
+    assert found == dict(enumerate(expected))
+    # 161 texts have 12,880 pairs
+    assert sum(met) < 12 * len(texts), met
