@@ -306,7 +306,10 @@ def _linkable(rows: DataFrame, percent: int) -> DataFrame:
 
 
 def _side(rows: DataFrame, side: str, *more: str) -> DataFrame:
-    """The rows as one side of a comparison within their nodes."""
+    """The rows as one side of a comparison within their nodes. Without a bound on what a row has in
+    common with others, all its shingles may be."""
+    if "common" not in rows.columns:
+        rows = rows.withColumn("common", F.col("n_shingles"))
     compared = ["rep", "component", "n_shingles", "common", *SHORT, *more]
     return rows.select("node", *[F.col(c).alias(f"{side}_{c}") for c in compared])
 
