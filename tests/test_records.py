@@ -101,6 +101,28 @@ def test_notes_are_written_and_cut_by_as_many_tasks_as_the_table_has(spark, tmp_
     assert len(list(written.glob("part-*.csv"))) >= 6
 
 
+def test_compressed_text_is_written_in_files_of_bounded_rows(spark, tmp_path, monkeypatch):
+    """A compressed file cannot be split, so one task's rows go to several files."""
+    monkeypatch.setattr(writers, "ROWS_PER_FILE", 10)
+    made = [(str(i), f'}} "{i}" {{', None if i % 3 else "t") for i in range(60)]
+    df = spark.createDataFrame(made, TEXT).coalesce(1)
+    writers.write_json(df, str(tmp_path / "j"), "gzip")
+    assert writers.write_csv(df, str(tmp_path / "c"), "gzip") == 60
+    assert len(list((tmp_path / "j").glob("*.json.gz"))) == len(list((tmp_path / "c").glob("*.csv.gz"))) == 6
+    assert rows(readers.read_json_records(spark, str(tmp_path / "j"), TEXT)) == sorted(made, key=repr)
+    ordered = readers.read_csv_in_order(spark, str(tmp_path / "c"), TEXT, "seq").orderBy("seq")
+    assert [tuple(r)[:3] for r in ordered.collect()] == made
+
+
+def test_the_json_of_the_transactions_is_small_on_disk(spark):
+    """Its text would be ten times the tables it is made from."""
+    folder, sf = Path(shared_dir(spark).removeprefix("file://")), "/root/testdata/sf0.001"
+    earlier = set(folder.glob("staged/**/json-*"))
+    assert QUERIES["transactions_from_json"](spark, sf).count() == spark.read.parquet(f"{sf}/lineitem.parquet").count()
+    [written] = {p for p in set(folder.glob("staged/**/json-*")) - earlier if list(p.glob("*json*"))}
+    assert sum(p.stat().st_size for p in written.glob("part-*")) < 50 * 6000
+
+
 def test_pieces_stay_in_the_task_that_read_them(spark, tmp_path):
     (tmp_path / "array.json").write_text('[{"a": "x}"}, {"a": "y"}]')
     pieces = records._pieces(spark, str(tmp_path), "}")

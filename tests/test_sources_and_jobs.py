@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+from pathlib import Path
 
 import pytest
 import samples
@@ -142,6 +143,27 @@ def test_full_etl(spark, inputs, tmp_path):
     assert rows(back.filter("amount IS NULL"), "amount_aed") == [(0.0,), (0.0,)]
 
 
+def test_full_etl_in_slices_with_compressed_tables(spark, inputs, tmp_path, monkeypatch):
+    """The same tables and counts; at the checks only the clean tables and the history are staged."""
+    whole = jobs.full_etl(spark, inputs, str(tmp_path / "whole"), LIMITS)
+    staged, run_all = [], jobs.quality.run_all
+
+    def noted(*args, **options):
+        staged.extend(sorted({p.parent.name.rsplit("-", 1)[0] for p in scopes.glob("scope-*/**/*.parquet")}))
+        return run_all(*args, **options)
+
+    scopes = Path(shared_dir(spark).removeprefix("file://")) / "staged" / spark.sparkContext.applicationId
+    monkeypatch.setattr(jobs.quality, "run_all", noted)
+    monkeypatch.setattr(jobs, "SLICE_ROWS", 1)
+    run = jobs.full_etl(spark, inputs, str(tmp_path / "cut"), LIMITS, compression="gzip")
+    assert staged == ["csv", "employees", "projects", "transactions"]
+    assert (run.rows, run.detections, run.fixes) == (whole.rows, whole.detections, whole.fixes)
+    assert run.quality == whole.quality
+    for name in ("projects_clean", "employees_clean", "transactions_clean"):
+        assert rows(readers.read_csv(spark, run.files[name])) == rows(readers.read_csv(spark, whole.files[name]))
+    assert list((tmp_path / "cut" / "transactions_clean").glob("*.csv.gz"))
+
+
 def test_gated_etl_reports_or_stops(spark, inputs, tmp_path):
     day = dt.date(2026, 9, 20)
     with pytest.raises(DataQualityError, match="transactions.amount is 50% complete"):

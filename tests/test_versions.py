@@ -1,5 +1,6 @@
 """Whole-table replacement, staging scopes and files that a scan can skip."""
 
+import time
 from pathlib import Path
 
 import pyarrow.parquet as pq
@@ -10,7 +11,9 @@ from pyspark.sql import functions as F
 
 from ledgerloom.plans import events
 from ledgerloom.plans.jobs import event_tables
-from ledgerloom.session import new_path, shared_dir, stage, stage_sorted, staging_scope
+from ledgerloom.session import (
+    SHUFFLE_CLEANUP, new_path, shared_dir, stage, stage_from, stage_in_slices, stage_sorted, staging_scope,
+)
 from ledgerloom.sources import readers, versions
 
 
@@ -67,6 +70,36 @@ def test_a_scope_removes_what_was_staged_inside(spark):
     assert _staged(spark) == names and before.count() == 3
 
 
+def test_what_is_staged_outside_a_scope_outlives_it(spark):
+    names = set(_staged(spark))
+    with staging_scope(spark) as outside:
+        inner = stage(spark.range(3), "inner")
+        with outside():
+            kept = stage(inner, "kept")
+    assert kept.count() == 3 and len(set(_staged(spark)) - names) == 1
+    built = stage_from(spark, lambda: stage(spark.range(4), "way").union(stage(spark.range(5), "way")), "built")
+    assert built.count() == 9 and len(set(_staged(spark)) - names) == 2
+
+
+def _shuffle_files(spark):
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = manager.getAllFiles()
+    return {name for i in range(files.size()) if (name := files.apply(i).getName()).startswith("shuffle_")}
+
+
+def test_staging_gives_its_shuffle_files_back(spark):
+    before = _shuffle_files(spark)
+    moved = spark.range(1000).repartition(3, "id").withColumn("of", F.col("id") % 7)
+    whole = stage(moved, "moved")
+    parts = stage_in_slices(moved, "of", 3, "parts")
+    until = time.time() + 20  # Spark removes them in the background
+    while _shuffle_files(spark) - before and time.time() < until:
+        time.sleep(0.2)
+    assert not _shuffle_files(spark) - before
+    assert spark.conf.get(SHUFFLE_CLEANUP, None) is None
+    assert rows(whole) == rows(parts) and whole.count() == 1000
+
+
 def test_a_job_leaves_nothing_staged(spark, tmp_path):
     raw = readers.read_events(spark, f"{samples.write_all(tmp_path)['events']}/events_*.jsonl")
     names = _staged(spark)
