@@ -1,8 +1,13 @@
 """Every registered query against its SQL statement, over whole tables."""
 
+from functools import partial
+from pathlib import Path
+
 import pytest
 
 import __spark_entry__
+from ledgerloom.plans import star
+from ledgerloom.session import shared_dir, stage
 from verification import compare
 from verification.oracles import ORACLES as SQL
 from verification.registry import QUERIES as ENTRY
@@ -40,6 +45,37 @@ def test_query_without_broadcasts(spark, duck, name):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
+def _staged_since(spark, earlier=()):
+    folder = Path(shared_dir(spark).removeprefix("file://")) / "staged" / spark.sparkContext.applicationId
+    return sorted({p for p in folder.iterdir() if list(p.glob("part-*"))} - set(earlier))
+
+
+def _labels(paths):
+    return sorted(p.name.rsplit("-", 1)[0] for p in paths)
+
+
+def test_facts_keep_only_what_they_are_read_from(spark, duck, monkeypatch):
+    """On the path for many versions, as on the other one: rows on the way are removed."""
+    monkeypatch.setattr(star, "as_of_join", partial(star.as_of_join, broadcast_rows=0))
+    stage(spark.range(1), "probe")
+    earlier = _staged_since(spark)
+    facts = ENTRY["fact_transactions"](spark, SF)
+    assert _labels(_staged_since(spark, earlier)) == [
+        "dense-employee_key", "dense-project_key", "dense-transaction_key", "dense-vendor_key"]
+    assert compare.compare(facts, duck, SQL["fact_transactions"]) is None
+
+
+def test_constraints_are_checked_on_the_tables_as_they_were_numbered(spark, duck, monkeypatch):
+    """Numbered tables are written already, so no table is copied for the checks."""
+    monkeypatch.setattr(star, "as_of_join", partial(star.as_of_join, broadcast_rows=0))
+    stage(spark.range(1), "probe")
+    earlier = _staged_since(spark)
+    found = ENTRY["star_constraints"](spark, SF)
+    assert _labels(_staged_since(spark, earlier)) == [
+        "dense-employee_key", "dense-project_key", "dense-transaction_key", "dense-vendor_key", "value-counts"]
+    assert compare.compare(found, duck, SQL["star_constraints"]) is None
+
+
 def test_entry(spark):
     result = __spark_entry__.entry(spark)
     assert result.columns == [
